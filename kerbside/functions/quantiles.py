@@ -18,13 +18,14 @@ _TOTAL = "__total"
 
 
 def with_cumulative_counts(histogram: DataFrame, keys: list[str], value: str, count: str) -> DataFrame:
-    """Adds, per row, the group's count up to this value and the group's total."""
-    group = Window.partitionBy(*keys)
-    return histogram.select(
-        "*",
-        F.sum(count).over(group.orderBy(value)).alias(_REACHED),
-        F.sum(count).over(group).alias(_TOTAL),
-    )
+    """Adds, per row, the group's count up to this value and the group's total.
+
+    Both frames share one ordering, so one window pass yields them.
+    """
+    ordered = Window.partitionBy(*keys).orderBy(value)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return histogram.select("*", F.sum(count).over(so_far).alias(_REACHED), F.sum(count).over(whole).alias(_TOTAL))
 
 
 def quantile(value: str, p: str) -> Column:

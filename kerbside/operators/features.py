@@ -76,11 +76,24 @@ def lag_columns(window: WindowSpec, lags: Sequence[int]) -> list[Column]:
     return [F.lag("pickups", n).over(window).alias(f"lag_{n}") for n in lags]
 
 
-def rolling_columns(window: WindowSpec, sizes: Sequence[int]) -> list[Column]:
-    """Means over the n rows before the current one."""
-    return [
-        F.avg("pickups").over(window.rowsBetween(-n, -1)).alias(f"rolling_mean_{n}") for n in sizes
-    ]
+def with_rolling_means(rows: DataFrame, window: WindowSpec, sizes: Sequence[int]) -> DataFrame:
+    """Adds means over the n rows before the current one, null for the first row of a series.
+
+    Taken as differences of one running sum, so a row costs the same for any n
+    (a sliding frame adds up its n rows again for every row). Pickups are whole
+    numbers, which keeps the differences exact.
+    """
+    before = F.sum("pickups").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    summed = rows.select(
+        "*", before.alias("__before"), (F.row_number().over(window) - 1).alias("__seen")
+    )
+
+    def mean(n: int) -> Column:
+        total = F.col("__before") - F.coalesce(F.lag("__before", n).over(window), F.lit(0))
+        count = F.nullif(F.least("__seen", F.lit(n)), F.lit(0))
+        return (total / count).alias(f"rolling_mean_{n}")
+
+    return summed.select("*", *[mean(n) for n in sizes]).drop("__before", "__seen")
 
 
 def forecast_features(
@@ -102,14 +115,17 @@ def forecast_features(
     if densify:
         rows = fill_hours(rows)
     window = series_window(partition)
-    built = rows.select(
-        "*",
-        *lag_columns(window, lags),
-        *rolling_columns(window, rolling),
+    lagged = rows.select(
+        "*", *lag_columns(window, lags), F.lead("pickups", 1).over(window).alias("label")
+    )
+    built = with_rolling_means(lagged, window, rolling).select(
+        *rows.columns,
+        *[f"lag_{n}" for n in lags],
+        *[f"rolling_mean_{n}" for n in rolling],
         F.hour("ts_hour").alias("hour_of_day"),
         F.dayofweek("ts_hour").alias("day_of_week"),
         F.month("ts_hour").alias("month_num"),
-        F.lead("pickups", 1).over(window).alias("label"),
+        "label",
     )
     required = [
         *[f"lag_{n}" for n in lags],

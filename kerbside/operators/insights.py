@@ -20,7 +20,7 @@ def keep_members(df: DataFrame, members: DataFrame, key: str, at_most: int) -> D
     """Rows whose key is in ``members``, which holds at most ``at_most`` rows."""
     if at_most <= BROADCAST_ROWS:
         members = F.broadcast(members)
-    return df.join(members, key, "left_semi")
+    return df.join(members, key, "left_semi").select(df.columns)
 
 
 def zone_totals(demand: DataFrame) -> DataFrame:

@@ -345,9 +345,8 @@ def lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rolling_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = features.series_window("service_zone")
-    return _demand(spark, sf_dir).select(
-        "service_type", "zone_id", "ts_hour", *features.rolling_columns(window, features.ROLLING)
-    )
+    rolled = features.with_rolling_means(_demand(spark, sf_dir), window, features.ROLLING)
+    return rolled.select("service_type", "zone_id", "ts_hour", *[f"rolling_mean_{n}" for n in features.ROLLING])
 
 
 @query

@@ -1,0 +1,95 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from kerbside.operators import features as X
+from kerbside.operators import forecast as G
+from kerbside.operators.timing import time_cached_and_uncached
+from kerbside.plans.forecasting import fit_and_score
+from tests.trips import demand, shuffled
+
+
+@pytest.fixture(scope="module")
+def fitted(spark):
+    rows = [("yellow", z, h, 10 * z + (h % 24)) for z in (1, 2) for h in range(600)]
+    built = X.forecast_features(demand(spark, rows), lags=(1, 23, 24, 168)).persist()
+    train, test = built.filter("day(ts_hour) < 20"), built.filter("day(ts_hour) >= 20")
+    return train, test, fit_and_score(train, test, max_depth=(2,), max_iter=(2,))
+
+
+def test_default_grid_and_features():
+    pipeline = G.build_pipeline()
+    points = [
+        tuple(sorted((p.name, v) for p, v in point.items())) for point in G.param_grid(pipeline)
+    ]
+    assert set(points) == {
+        (("maxDepth", d), ("maxIter", i)) for d in (3, 5) for i in (20, 50)
+    }
+    assert pipeline.getStages()[0].getInputCols() == list(X.FEATURES)
+    assert pipeline.getStages()[1].getSeed() == 128
+
+
+def test_folds_cover_rows_and_repeat(fitted):
+    train = fitted[0]
+    folds = G.with_folds(train)
+    assert {r.fold for r in folds.select("fold").distinct().collect()} == {0, 1, 2}
+    again = G.with_folds(shuffled(train))
+    assert folds.select("zone_id", "ts_hour", "fold").exceptAll(again.select("zone_id", "ts_hour", "fold")).count() == 0
+
+
+def test_metrics_by_hand(spark):
+    df = spark.createDataFrame([(1, 1, 4), (5, 3, 5)], "label bigint, lag_24 bigint, lag_23 bigint")
+    got = {r.model: (r.mae, r.rmse) for r in G.baseline_metrics(df).collect()}
+    assert got == {
+        "baseline_lag24": (1.0, pytest.approx(math.sqrt(2))),
+        "baseline_seasonal": (1.5, pytest.approx(math.sqrt(4.5))),
+    }
+    assert [r.model for r in G.baseline_metrics(df.drop("lag_23")).collect()] == ["baseline_lag24"]
+
+
+def test_improvement(spark):
+    table = spark.createDataFrame(
+        [("baseline_lag24", 1.0, 8.0), ("gbt_cv", 1.0, 6.0)], "model string, mae double, rmse double"
+    )
+    assert G.rmse_improvement(table).first()[0] == 25.0
+    perfect = table.withColumn("rmse", F.lit(0.0))
+    assert G.rmse_improvement(perfect).first()[0] is None
+
+
+def test_run_reports(fitted, spark):
+    _, test, run = fitted
+    assert {r.model for r in run.metrics.collect()} == {"baseline_lag24", "baseline_seasonal", "gbt_cv"}
+    assert run.predictions.count() == test.count()
+    weights = run.importances.collect()
+    assert [w.importance for w in weights] == sorted((w.importance for w in weights), reverse=True)
+    assert sum(w.importance for w in weights) == pytest.approx(1.0)
+    grid = G.cross_validation_table(spark, run.model).collect()
+    assert [(r.max_depth, r.max_iter) for r in grid] == [(2, 2)]
+
+
+def test_model_metrics_match_predictions(fitted):
+    _, _, run = fitted
+    rows = run.predictions.select("label", "prediction").collect()
+    mae = sum(abs(r.label - r.prediction) for r in rows) / len(rows)
+    got = {r.model: r.mae for r in run.metrics.collect()}
+    assert got["gbt_cv"] == pytest.approx(mae, abs=1e-4)
+
+
+def test_sample_is_the_same_rows_every_time(fitted):
+    predictions = fitted[2].predictions
+    first = G.prediction_sample(predictions, 20)
+    assert "features" not in first.columns and first.count() == 20
+    assert first.exceptAll(G.prediction_sample(shuffled(predictions), 20)).count() == 0
+
+
+def test_busiest_zone_series(fitted):
+    rows = G.busiest_zone_series(fitted[2].predictions, n=30).collect()
+    assert {r.zone_id for r in rows} == {2} and len(rows) == 30
+    assert [r.ts_hour for r in rows] == sorted(r.ts_hour for r in rows)
+
+
+def test_timings(spark):
+    timings = time_cached_and_uncached(spark, demand(spark, [("yellow", 1, 0, 1)]), "tiny")
+    assert [r.experiment for r in timings.collect()] == ["tiny_no_cache", "tiny_cached"]
+    assert all(r.elapsed_sec >= 0 for r in timings.collect())
