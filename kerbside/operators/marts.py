@@ -10,6 +10,14 @@ from kerbside.functions.trips import usable
 from kerbside.settings import LONG_TRIP_SECONDS
 
 
+_SORT_KEYS = ("service_type", "year", "month", "zone_id", "ts_hour", "hour")
+
+
+def ordered(mart: DataFrame) -> DataFrame:
+    """The mart sorted by its keys, for showing it; later jobs need no order."""
+    return mart.orderBy(*[key for key in _SORT_KEYS if key in mart.columns])
+
+
 def _mean(total: str, count: str) -> Column:
     return F.sum(total) / F.nullif(F.sum(count), F.lit(0))
 

@@ -1,4 +1,8 @@
-"""The same answers in plain SQL over the given tables, written independently of the operators."""
+"""The same answers in plain SQL over the given tables, written independently of the operators.
+
+Means are rounded twice: the engines add doubles in different orders, and the
+first rounding removes that noise before the second one could tip over at a tie.
+"""
 
 from __future__ import annotations
 
@@ -85,12 +89,12 @@ monthly AS (
   GROUP BY service_type, year, month)"""
 
 _DEMAND_COLUMNS = """service_type, zone_id, ts_hour, pickups,
-  round(avg_total_amount, 6) AS avg_total_amount, round(avg_trip_distance, 6) AS avg_trip_distance,
+  round(round(avg_total_amount, 10), 6) AS avg_total_amount, round(round(avg_trip_distance, 10), 6) AS avg_trip_distance,
   p50_duration, p95_duration"""
 
 _TRIP_COLUMNS = """service_type, pickup_datetime, dropoff_datetime, pu_location_id, do_location_id,
-  passenger_count, round(trip_distance, 6) AS trip_distance, round(fare_amount, 6) AS fare_amount,
-  round(total_amount, 6) AS total_amount, year, month, day, hour, dow, trip_duration_sec,
+  passenger_count, round(round(trip_distance, 10), 6) AS trip_distance, round(round(fare_amount, 10), 6) AS fare_amount,
+  round(round(total_amount, 10), 6) AS total_amount, year, month, day, hour, dow, trip_duration_sec,
   valid_time, valid_locations"""
 
 
@@ -129,7 +133,7 @@ dense AS (
     ON b.service_type = g.service_type AND b.zone_id = g.zone_id AND b.ts_hour = h.ts_hour)"""
 
 _FEATURE_COLUMNS = f"""{_DEMAND_COLUMNS}, lag_1, lag_24, lag_168,
-  round(rolling_mean_24, 6) AS rolling_mean_24, round(rolling_mean_168, 6) AS rolling_mean_168,
+  round(round(rolling_mean_24, 10), 6) AS rolling_mean_24, round(round(rolling_mean_168, 10), 6) AS rolling_mean_168,
   hour_of_day, day_of_week, month_num, label, feat_year, feat_month"""
 
 _BY_ZONE = _features("busiest", "zone_id", "ts_hour, service_type")
@@ -168,8 +172,8 @@ _MONTH_TOTALS = """
   sum(trip_duration_sec) AS duration_sec,
   CAST(sum(pu_location_id) AS BIGINT) AS pu_sum,
   CAST(sum(passenger_count) FILTER (service_type <> 'fhv') AS BIGINT) AS passengers,
-  round(sum(fare_amount) FILTER (service_type = 'green' OR (service_type = 'yellow' AND year % 2 = 0)), 6) AS fares,
-  round(sum(total_amount) FILTER (service_type <> 'fhv'), 6) AS amount"""
+  round(sum(fare_amount) FILTER (service_type = 'green' OR (service_type = 'yellow' AND year % 2 = 0)), 4) AS fares,
+  round(sum(total_amount) FILTER (service_type <> 'fhv'), 4) AS amount"""
 
 
 def _with(*ctes: str, select: str) -> str:
@@ -180,9 +184,9 @@ def _long_share(zones: str) -> str:
     return _with(
         _A,
         _RELIABILITY,
-        select=f"""SELECT zone_id, round(avg(share_long_trips), 6) AS avg_share_long,
+        select=f"""SELECT zone_id, round(round(avg(share_long_trips), 10), 6) AS avg_share_long,
   CAST(sum(trip_count) AS BIGINT) AS total_trips,
-  round(sum(share_long_trips * trip_count) / sum(trip_count), 6) AS weighted_share_long
+  round(round(sum(share_long_trips * trip_count) / sum(trip_count), 10), 6) AS weighted_share_long
 FROM reliability WHERE zone_id IN ({zones}) GROUP BY zone_id""",
     )
 
@@ -200,13 +204,13 @@ def all_oracles() -> dict[str, str]:
             select="""SELECT 'yellow' AS service_type, event_id, pickup_datetime AS tpep_pickup_datetime,
   dropoff_datetime AS tpep_dropoff_datetime, CAST(pu AS DOUBLE) AS "PULocationID",
   CAST(do_id AS DOUBLE) AS "DOLocationID", CAST(user_id % 6 + 1 AS DOUBLE) AS passenger_count,
-  round(value / 5, 6) AS trip_distance, round(value * 0.8, 6) AS fare_amount, round(value, 6) AS total_amount
+  round(round(value / 5, 10), 6) AS trip_distance, round(round(value * 0.8, 10), 6) AS fare_amount, round(round(value, 10), 6) AS total_amount
 FROM event_base WHERE service_type = 'yellow'
 UNION ALL BY NAME
 SELECT 'green' AS service_type, event_id, pickup_datetime AS lpep_pickup_datetime,
   dropoff_datetime AS lpep_dropoff_datetime, CAST(pu AS DOUBLE) AS "PULocationID",
   CAST(do_id AS DOUBLE) AS "DOLocationID", CAST(user_id % 6 + 1 AS DOUBLE) AS passenger_count,
-  round(value / 5, 6) AS trip_distance, round(value * 0.8, 6) AS fare_amount, round(value, 6) AS total_amount
+  round(round(value / 5, 10), 6) AS trip_distance, round(round(value * 0.8, 10), 6) AS fare_amount, round(round(value, 10), 6) AS total_amount
 FROM event_base WHERE service_type = 'green'
 UNION ALL BY NAME
 SELECT 'fhv' AS service_type, event_id, pickup_datetime, dropoff_datetime AS "dropOff_datetime",
@@ -217,7 +221,7 @@ FROM event_base WHERE service_type = 'fhv'""",
             _A,
             select="""SELECT count(*) AS total_rows,
   CAST(count(*) FILTER (valid_time AND valid_locations) AS BIGINT) AS valid_rows,
-  round(count(*) FILTER (valid_time AND valid_locations) * 100.0 / count(*), 6) AS valid_pct
+  round(round(count(*) FILTER (valid_time AND valid_locations) * 100.0 / count(*), 10), 6) AS valid_pct
 FROM trips""",
         ),
         "trips_by_service": _with(
@@ -244,19 +248,19 @@ FROM trips GROUP BY service_type""",
             _B,
             _MONTHLY,
             select="""SELECT service_type, year, month, trips, unique_pu_zones,
-  round(avg_duration_sec, 6) AS avg_duration_sec, p95_duration_sec FROM monthly""",
+  round(round(avg_duration_sec, 10), 6) AS avg_duration_sec, p95_duration_sec FROM monthly""",
         ),
         "zone_hour_reliability": _with(
             _A,
             _RELIABILITY,
             select="""SELECT service_type, zone_id, hour, trip_count,
-  round(share_long_trips, 6) AS share_long_trips FROM reliability""",
+  round(round(share_long_trips, 10), 6) AS share_long_trips FROM reliability""",
         ),
         "bench_mart_agg": _with(
             _A,
             _DEMAND,
             select="""SELECT service_type, zone_id, CAST(sum(pickups) AS BIGINT) AS total_pickups,
-  round(avg(avg_total_amount), 6) AS mean_amount
+  round(round(avg(avg_total_amount), 10), 6) AS mean_amount
 FROM demand GROUP BY service_type, zone_id""",
         ),
         "demand_heatmap": _with(
@@ -273,7 +277,7 @@ WHERE service_type = 'yellow' AND valid_time GROUP BY dow""",
             _B,
             _MONTHLY,
             select="""SELECT service_type, make_date(year, month, 1) AS month_date, trips,
-  round(trips / 1e6, 6) AS trips_millions
+  round(round(trips / 1e6, 10), 6) AS trips_millions
 FROM monthly WHERE trips > 200""",
         ),
         "h3_airport": _long_share("132, 138, 1"),
@@ -282,9 +286,9 @@ FROM monthly WHERE trips > 200""",
             _A,
             _RELIABILITY,
             select="""SELECT CASE WHEN zone_id IN (132, 138, 1) THEN 'Airport' ELSE 'Midtown' END AS zone_group,
-  round(min(share_long_trips), 6) AS "min", round(quantile_cont(share_long_trips, 0.25), 6) AS q1,
-  round(quantile_cont(share_long_trips, 0.5), 6) AS "median",
-  round(quantile_cont(share_long_trips, 0.75), 6) AS q3, round(max(share_long_trips), 6) AS "max"
+  round(round(min(share_long_trips), 10), 6) AS "min", round(round(quantile_cont(share_long_trips, 0.25), 10), 6) AS q1,
+  round(round(quantile_cont(share_long_trips, 0.5), 10), 6) AS "median",
+  round(round(quantile_cont(share_long_trips, 0.75), 10), 6) AS q3, round(round(max(share_long_trips), 10), 6) AS "max"
 FROM reliability WHERE zone_id IN (132, 138, 1, 161, 162, 163) GROUP BY ALL""",
         ),
         "top_zones": _with(
@@ -379,8 +383,8 @@ FROM demand""",
             _BUSIEST_50,
             _BY_ZONE,
             _TEST_ERRORS,
-            select="""SELECT 'baseline_lag24' AS model, round(mae_24, 6) AS mae, round(rmse_24, 6) AS rmse FROM errors
-UNION ALL SELECT 'baseline_seasonal', round(mae_23, 6), round(rmse_23, 6) FROM errors""",
+            select="""SELECT 'baseline_lag24' AS model, round(round(mae_24, 10), 6) AS mae, round(round(rmse_24, 10), 6) AS rmse FROM errors
+UNION ALL SELECT 'baseline_seasonal', round(round(mae_23, 10), 6), round(round(rmse_23, 10), 6) FROM errors""",
         ),
         "baseline_improvement": _with(
             _A,
@@ -388,7 +392,7 @@ UNION ALL SELECT 'baseline_seasonal', round(mae_23, 6), round(rmse_23, 6) FROM e
             _BUSIEST_50,
             _BY_ZONE,
             _TEST_ERRORS,
-            select="SELECT round((rmse_24 - rmse_23) / rmse_24 * 100, 6) AS rmse_improvement_pct FROM errors",
+            select="SELECT round(round((rmse_24 - rmse_23) / rmse_24 * 100, 10), 6) AS rmse_improvement_pct FROM errors",
         ),
         "busiest_zone_series": _with(
             _A,

@@ -48,7 +48,8 @@ def presented(df: DataFrame) -> DataFrame:
     def column(field: T.StructField):
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            value = F.round(value, 6)
+            # Twice: the first takes out the noise of summation order, which could tip a tie.
+            value = F.round(F.round(value, 10), 6)
         elif isinstance(field.dataType, T.TimestampType):
             value = value.cast("timestamp_ntz")
         return value.alias(field.name)
@@ -284,8 +285,8 @@ def _month_totals(trips: DataFrame, *extra) -> DataFrame:
         F.sum("trip_duration_sec").alias("duration_sec"),
         F.sum("pu_location_id").alias("pu_sum"),
         F.sum("passenger_count").alias("passengers"),
-        F.sum("fare_amount").alias("fares"),
-        F.sum("total_amount").alias("amount"),
+        F.round(F.sum("fare_amount"), 4).alias("fares"),
+        F.round(F.sum("total_amount"), 4).alias("amount"),
         *extra,
     )
 

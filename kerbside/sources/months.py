@@ -123,11 +123,12 @@ def scan_variants(spark: SparkSession, months: Iterable[Month]) -> list[DataFram
 def _scan(spark: SparkSession, service: str, members: list[Month]) -> DataFrame:
     frame = spark.read.schema(members[0].schema).parquet(*[m.path for m in members])
     path = F.col("_metadata.file_path")
-    return frame.select(
-        "*",
-        F.lit(service).alias("service_type"),
-        F.regexp_extract(path, _MONTH_IN_PATH, 1).cast("int").alias("src_year"),
-        F.regexp_extract(path, _MONTH_IN_PATH, 2).cast("int").alias("src_month"),
+    return frame.withColumns(
+        {
+            "service_type": F.lit(service),
+            "src_year": F.regexp_extract(path, _MONTH_IN_PATH, 1).cast("int"),
+            "src_month": F.regexp_extract(path, _MONTH_IN_PATH, 2).cast("int"),
+        }
     )
 
 

@@ -127,6 +127,12 @@ def test_empty_trips(spark):
     }
 
 
+def test_ordered_marts(spark):
+    df = trips(spark, [{"pu": z, "at": START + HOUR * h} for z, h in ((2, 1), (2, 0), (1, 5))])
+    rows = marts.ordered(marts.zone_hour_demand(shuffled(df))).collect()
+    assert [(r.zone_id, r.ts_hour) for r in rows] == [(1, START + 5 * HOUR), (2, START), (2, START + HOUR)]
+
+
 def test_demand_by_zone(spark):
     rows = [{"amount": 1.0}, {"amount": 3.0}, {"at": START + HOUR, "amount": 10.0}]
     row = demand_by_zone(marts.zone_hour_demand(trips(spark, rows))).first()

@@ -101,7 +101,7 @@ def test_corrupt_file_is_not_missing(spark, tmp_path, lake):
 
 
 def test_empty_month_file(spark, tmp_path, lake):
-    empty = {name: column[:0] if not isinstance(column, list) else [] for name, column in fhv(1, "PUlocationID", pa.int64()).items()}
+    empty = {name: column[:0] for name, column in fhv(1, "PUlocationID", pa.int64()).items()}
     write_month(tmp_path, "fhv", 2024, 1, empty)
     loaded, report = load_trips(spark, lake, ["fhv"], "2024-01", "2024-01")
     assert loaded.count() == 0 and report.first().landed
@@ -109,7 +109,8 @@ def test_empty_month_file(spark, tmp_path, lake):
 
 def test_stray_pickups_are_flagged_not_dropped(spark, tmp_path, lake):
     columns = fhv(1, "PUlocationID", pa.int64())
-    columns["pickup_datetime"] = pa.array([dt.datetime(2024, 1, 3, 10), dt.datetime(2008, 12, 31)], pa.timestamp("us"))
+    pickups = [dt.datetime(2024, 1, 3, 10), dt.datetime(2008, 12, 31)]
+    columns["pickup_datetime"] = pa.array(pickups, pa.timestamp("us"))
     write_month(tmp_path, "fhv", 2024, 1, columns)
     loaded, _ = load_trips(spark, lake, ["fhv"], "2024-01", "2024-01", flag_source_month=True)
     assert {(r.year, r.in_source_month) for r in loaded.collect()} == {(2024, True), (2008, False)}
@@ -120,3 +121,11 @@ def test_schema_probe(spark, tmp_path, lake):
     schema, rows = M.probe_schema(spark, lake.month_path("fhv", 2024, 1))
     assert schema.names[0] == "pickup_datetime" and rows.count() == 2
     assert M.probe_schema(spark, lake.month_path("fhv", 2024, 2)) is None
+
+
+def test_provenance_replaces_raw_columns_of_that_name(spark, tmp_path, lake):
+    columns = {**fhv(1, "PUlocationID", pa.int64()), "Service_Type": ["x", "y"], "src_year": [1, 2]}
+    write_month(tmp_path, "fhv", 2024, 1, columns)
+    raw = M.load_service_raw(spark, lake, "fhv", "2024-01", "2024-01")
+    rows = raw.select("service_type", "src_year", "src_month").distinct().collect()
+    assert [tuple(r) for r in rows] == [("fhv", 2024, 1)]

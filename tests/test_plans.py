@@ -13,7 +13,7 @@ from kerbside.operators import features, insights, marts
 from kerbside.plans import layers, subset
 from kerbside.plans.forecasting import run_forecast
 from kerbside.settings import Lake
-from kerbside.sources.tables import read_trips
+from kerbside.sources.tables import read_trips, save_parquet
 
 FIRST = dt.datetime(2024, 12, 10)
 
@@ -109,6 +109,26 @@ def test_marts_push_filters_and_prune(spark, lake, silver):
     assert "PartitionFilters: [isnotnull(service_type" in heat
 
 
+@pytest.mark.parametrize("build", [marts.zone_hour_demand, marts.monthly_service_summary])
+def test_hot_groups_are_spread_over_their_durations(silver, build):
+    exchanges = [line for line in plan(build(silver)).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2
+    assert "trip_duration_sec" in exchanges[1] and "trip_duration_sec" not in exchanges[0]
+
+
+def test_rebalanced_write_splits_a_hot_partition(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "200KB")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 50 = 0, 'cold', 'hot') AS k", "id", "uuid() AS v")
+        save_parquet(rows, str(tmp_path / "t"), ("k",), rebalance=True)
+    finally:
+        spark.conf.set(size, before)
+    files = {k: len(list((tmp_path / "t" / f"k={k}").glob("*.parquet"))) for k in ("hot", "cold")}
+    assert files["cold"] == 1 and files["hot"] >= 4
+
+
 def test_silver_build_has_no_shuffle(spark, lake):
     loaded, _ = layers.load_trips(spark, lake, start="2024-11", end="2025-02")
     assert "Exchange" not in plan(loaded)
