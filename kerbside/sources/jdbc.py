@@ -8,16 +8,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Environment variables and target table names.
+# Environment variables of the target, and the year of the demand slice.
 _ENV = {"host": "PG_HOST", "port": "PG_PORT", "db": "PG_DB", "user": "PG_USER", "password": "PG_PASSWORD"}
 _DEFAULT_PORT = "5432"
 _DRIVER = "org.postgresql.Driver"
-EXPORT_TABLES = {
-    "monthly_service_summary": "cw2_monthly_service_summary",
-    "model_metrics": "cw2_model_metrics",
-    "perf_timings": "cw2_perf_timings",
-    "zone_hour_demand_2025": "cw2_zone_hour_demand_2025",
-}
 EXPORT_YEAR = 2025
 
 # Bounds how many tasks hold a database connection at once.
@@ -64,6 +58,7 @@ def export_curated(
     metrics: DataFrame,
     timings: DataFrame,
     demand: DataFrame | None = None,
+    prefix: str = "",
     env: Mapping[str, str] | None = None,
 ) -> dict[str, bool]:
     """Export the curated set, one outcome per target table. Demand is cut to its export year."""
@@ -73,5 +68,5 @@ def export_curated(
         "perf_timings": timings,
     }
     if demand is not None:
-        frames["zone_hour_demand_2025"] = year_slice(demand)
-    return {EXPORT_TABLES[name]: export_table(df, EXPORT_TABLES[name], env=env) for name, df in frames.items()}
+        frames[f"zone_hour_demand_{EXPORT_YEAR}"] = year_slice(demand)
+    return {prefix + name: export_table(df, prefix + name, env=env) for name, df in frames.items()}
