@@ -14,7 +14,7 @@ from kerbside.plans.forecasting import ForecastRun, fit_and_score
 from kerbside.plans.layers import load_trips
 from kerbside.plans.recode import MONTH_FOLDERS, recode_months, write_months
 from kerbside.plans.subset import keep_busiest_zones
-from kerbside.session import pin_timezone, scratch_path, store
+from kerbside.session import Workspace, pin_timezone, scratch_path
 from kerbside.settings import AIRPORT_ZONES, END_MONTH, MIDTOWN_ZONES, SERVICES, START_MONTH, Lake
 from kerbside.sources import months as M
 from kerbside.sources.jdbc import year_slice
@@ -74,7 +74,7 @@ def _demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store(_demand(spark, sf_dir), "demand")
+    return Workspace(spark).store(_demand(spark, sf_dir), "demand")
 
 
 def _reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -406,7 +406,7 @@ def _fitted(spark: SparkSession, sf_dir: str) -> ForecastRun:
         built = features.forecast_features(
             _stored_demand(spark, sf_dir), densify=True, lags=LAGS_WITH_SEASONAL
         )
-        return fit_and_score(*features.split_by_month(store(built, "features")), **SMALL_GRID)
+        return fit_and_score(*features.split_by_month(Workspace(spark).store(built, "features")), **SMALL_GRID)
 
     return once_per_session(spark, sf_dir, "fitted", fit)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -13,14 +14,7 @@ _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(app: str = "kerbside", master: str | None = None, **conf: str) -> SparkSession:
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.parquet.mergeSchema", "false")
-    )
+    builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -55,12 +49,58 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame below the shared folder and read it back.
+class Workspace:
+    """Owns the intermediate tables of one run: one folder below the shared folder.
 
-    Ends recomputation for frames used more than once, survives executor loss,
-    and later reads prune its columns.
+    Frames read back from it are lazy, so ``close`` it once their results are
+    written. What is still open when the interpreter ends is removed then.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+
+    def __init__(self, spark: SparkSession, name: str = "work") -> None:
+        self.spark = spark
+        self.root = scratch_path(spark, name)
+        self._tables = 0
+        _open_workspaces.add(self)
+
+    def path(self, name: str) -> str:
+        """A fresh path inside the folder."""
+        self._tables += 1
+        return f"{self.root}/{self._tables:03d}-{name}"
+
+    def store(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Write the frame and read it back.
+
+        Ends recomputation for frames used more than once, survives executor
+        loss, and later reads prune its columns.
+        """
+        path = self.path(name)
+        df.write.options(**options).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        """Remove the folder and everything in it."""
+        _open_workspaces.discard(self)
+        remove_path(self.spark, self.root)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+_open_workspaces: set[Workspace] = set()
+
+
+@atexit.register
+def _close_workspaces() -> None:
+    for workspace in list(_open_workspaces):
+        with contextlib.suppress(Exception):  # the session may be gone
+            workspace.close()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store holds it."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
