@@ -1,0 +1,3 @@
+"""SQL twins of the operators' queries, for DuckDB."""
+
+ORACLES: dict[str, str] = {}
