@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact, mixing, packing, quality
+from kerbside.llm import exact, mixing, near, packing, quality
 from kerbside.llm.queries import TOKENIZER, documents
 from kerbside.session import Workspace
 
@@ -24,6 +24,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_copies(docs, Workspace(spark, "pipeline-exact"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near.drop_near_copies(docs, Workspace(spark, "pipeline-near"))
+
+
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed(docs, Workspace(spark, "pipeline-mixing"))
@@ -39,6 +44,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
     ("source mixing", source_mixing),
     ("best-fit packing", best_fit_packing),
 ]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact, mixing, packing, quality, records, sharding
+from kerbside.llm import exact, mixing, near, packing, quality, records, sharding
 from kerbside.session import Workspace
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,11 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes, _, _ = near.near_classes(documents(spark, sf_dir), Workspace(spark, "near"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(documents(spark, sf_dir), Workspace(spark, "sharding"))
     return placed.select(
@@ -81,6 +86,7 @@ QUERIES = {
         op4_best_fit_packing,
         op5_source_mixing,
         op6_token_records,
+        op7_order_minhash,
         op10_sharding,
     )
 }
