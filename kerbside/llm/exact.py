@@ -64,6 +64,8 @@ class SeenTexts:
             self.spark,
             spark__sql__streaming__stateStore__providerClass=STATE_STORE,
             spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+            # A partition's log would take megabytes ahead of use, many times what a small state holds.
+            spark__sql__streaming__stateStore__rocksdb__allowFAllocate="false",
         ):
             log = self.spark.readStream.schema(arrivals.schema).option("maxBytesPerTrigger", str(self.batch_bytes))
             latest = (
