@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact, mixing, near, packing, quality, records, sharding
+from kerbside.llm import exact, mixing, near, packing, quality, records, sharding, toxicity
 from kerbside.session import Workspace
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,6 +65,23 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+    def held_out(doc_id: str) -> Column:
+        return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 4 == 2
+
+    work = Workspace(spark, "toxicity")
+    model = toxicity.fit(toxicity.labelled_rows(docs, labels, held_out("id")), work)
+    return toxicity.scored(docs, model).select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(documents(spark, sf_dir), Workspace(spark, "sharding"))
     return placed.select(
@@ -87,6 +104,7 @@ QUERIES = {
         op5_source_mixing,
         op6_token_records,
         op7_order_minhash,
+        op9_toxicity,
         op10_sharding,
     )
 }

@@ -22,17 +22,22 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: Sequence[bytes], most_bytes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word of every text in order, number of words per text).
 
     A word's hash is a polynomial of its bytes, taken from prefix sums, then
-    mixed; equal words have equal hashes in every process.
+    mixed; equal words have equal hashes in every process. With ``most_bytes``
+    only that many bytes from a word's start count.
     """
     joined = b" ".join([*texts, b""])
     data = np.frombuffer(joined, dtype=np.uint8)
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
+    text_ends = np.cumsum([len(t) + 1 for t in texts]) if len(texts) else np.zeros(0, dtype=np.int64)
+    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    if most_bytes:
+        ends = np.minimum(ends, starts + most_bytes)
     with np.errstate(over="ignore"):
         powers = np.full(len(data) + 1, _BASE, dtype=np.uint64)
         powers[0] = 1
@@ -43,8 +48,7 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         back[0] = 1
         np.cumprod(back, out=back)
         hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
-    text_ends = np.cumsum([len(t) + 1 for t in texts]) if len(texts) else np.zeros(0, dtype=np.int64)
-    return hashes, np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    return hashes, counts
 
 
 def windows_of(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
