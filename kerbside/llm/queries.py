@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact, mixing, near, packing, quality, records, sharding, toxicity
+from kerbside.llm import exact, mixing, near, packing, phrases, quality, records, sharding, suffix, toxicity
 from kerbside.session import Workspace
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.removed_spans(documents(spark, sf_dir), Workspace(spark, "suffix"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span[1] - span[0])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     rules = quality.ordered_rules(docs)
@@ -65,6 +77,12 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op8_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.kept_words(documents(spark, sf_dir), Workspace(spark, "phrases"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span[1] - span[0])
+    return found.select(F.col("id").alias("doc_id"), "n_words", removed.alias("n_removed"), "kept_sha256")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -99,11 +117,13 @@ QUERIES = {
     fn.__name__: fn
     for fn in (
         op1_exact_dedup,
+        op2_suffix_dedup,
         op3_quality_rules,
         op4_best_fit_packing,
         op5_source_mixing,
         op6_token_records,
         op7_order_minhash,
+        op8_phrase_dedup,
         op9_toxicity,
         op10_sharding,
     )
