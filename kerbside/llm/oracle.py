@@ -1,3 +1,110 @@
-"""SQL twins of the operators' queries, for DuckDB."""
+"""SQL twins of the operators' queries, for DuckDB.
 
-ORACLES: dict[str, str] = {}
+Packing, record files, near duplicates, byte passages (too slow over whole
+tables there), sharding and toxicity have none: tests compare them with
+brute-force versions or measure held-out accuracy.
+"""
+
+from kerbside.llm.mixing import MOST, SEED, SHARE, WEIGHTS
+
+EXACT = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), m AS (
+  SELECT doc_id, r, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines
+  FROM d
+), places AS (
+  SELECT r, unnest(range(1, len(w) - 6)) AS i,
+         unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(list_slice(w, i, i + 7), ' '))) AS s FROM d
+), counted AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, s) AS times FROM places
+), repeated AS (
+  SELECT r, sum(least(8, coalesce(i - before, 8)))::BIGINT AS n_repeat_words
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM counted WHERE times > 1) GROUP BY r
+), judged AS (
+  SELECT *, coalesce(n_repeat_words, 0)::BIGINT AS repeats,
+         n_words < 20 OR 100 * coalesce(n_repeat_words, 0) > 30 * n_words AS failed,
+         10 * n_symbols > n_words
+           OR 2 * len(regexp_extract_all(t, '!')) > n_words
+           OR 2 * len(regexp_extract_all(t, '\p{{Lu}}')) > word_chars
+           OR word_chars > 15 * n_words OR word_chars < 2 * n_words
+           OR 2 * n_dup_lines > n_lines AS rejected
+  FROM m LEFT JOIN repeated USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, repeats AS n_repeat_words, failed AS base_failed,
+       NOT failed AND NOT rejected AS kept
+FROM judged
+"""
+
+MIXING = f"""
+WITH sizes AS (
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
+), weighted AS (
+  SELECT *, ([{", ".join(map(str, WEIGHTS))}])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS weight
+  FROM totals
+), levels AS (
+  SELECT *, ({SHARE} * sum(source_size) OVER ()
+             - coalesce(sum({MOST} * source_size) OVER (fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted WINDOW fill AS (ORDER BY source_size / weight, source NULLS LAST)
+), filled AS (
+  SELECT source, source_size, weight, max(level) FILTER (level * weight <= {MOST} * source_size) OVER () AS level FROM levels
+), targets AS (
+  SELECT source, source_size, coalesce(least({MOST} * source_size::DOUBLE, level * weight), {MOST} * source_size::DOUBLE) AS target
+  FROM filled
+), rated AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size END AS rate,
+         ('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT / 281474976710656.0::DOUBLE AS coin
+  FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + (coin < rate - floor(rate))::INT))::BIGINT AS taken FROM rated
+"""
+
+PHRASES = rf"""
+WITH d AS (
+  SELECT doc_id, {_WORDS} AS w FROM documents
+), places AS (
+  SELECT doc_id, unnest(range(0, len(w) - 19)) AS i,
+         unnest(list_transform(range(0, len(w) - 19), lambda i: array_to_string(list_slice(w, i + 1, i + 20), ' '))) AS s
+  FROM d
+), ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM places
+), hit AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM ranked WHERE k > 1
+), spans AS (
+  SELECT doc_id, sum(least(20, coalesce(i - before, 20))) AS n_removed,
+         list(struct_pack(low := coalesce(before + 20, 0), high := i) ORDER BY i)
+           FILTER (before IS NULL OR i - before > 20) AS gaps, max(i) + 20 AS rest
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN gaps IS NULL THEN w ELSE list_concat(
+         flatten(list_transform(gaps, lambda g: list_slice(w, g.low + 1, g.high))),
+         list_slice(w, rest + 1, len(w))) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN spans USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": EXACT,
+    "op3_quality_rules": QUALITY,
+    "op5_source_mixing": MIXING,
+    "op8_phrase_dedup": PHRASES,
+}
