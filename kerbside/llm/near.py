@@ -28,9 +28,12 @@ from kerbside.session import Workspace
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# Keys per document and 5-grams per key: at similarity 0.8 a pair misses every key once in 100,000.
-KEYS = 16
-PER_KEY = 3
+# Keys per document and 5-grams per key: at similarity 0.8 a pair misses every key seven times in a million, at
+# 0.3 it meets in one with a chance of 7 %.
+KEYS = 30
+PER_KEY = 5
+# Leaders of a key grow by this factor a round.
+MORE_LEADERS = 8
 BATCH_CHARS = 2_000_000
 
 SKETCH_SCHEMA = "row long, id long, digest binary, shingles long, keys array<long>"
@@ -176,63 +179,75 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(align, "a long, b long, linked boolean")
 
 
+def key_members(sketched: DataFrame, work: Workspace) -> DataFrame:
+    """k, key, row, shingles, n and leader of every row that shares a key with others.
+
+    A key's leader is the row whose keys are shared most in all: among edited
+    copies of a text that is the text itself, which all of them resemble most.
+    """
+    entries = sketched.select("row", "shingles", F.posexplode("keys").alias("k", "key"))
+    shared = entries.groupBy("k", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    met = work.store(entries.join(shared, ["k", "key"]), "met")
+    known = met.groupBy("row").agg(F.sum("n").alias("known"))
+    leaders = met.join(known, "row").groupBy("k", "key").agg(F.max(F.struct("known", "row"))["row"].alias("leader"))
+    return work.store(met.join(leaders, ["k", "key"]), "members")
+
+
 def links_within_keys(sketched: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     """Links (a, b) that connect what is similar among documents that share a key.
 
-    Nothing is paired with everything: a round compares the documents of a key
-    with its leaders of that round, first one, then four times as many each
-    time, drawn by a hash. A document that is linked drops out; one that matches
-    no leader meets all others in the end. A key with one large class is done in
-    the first round, with one comparison a document.
+    Nothing is paired with everything. First each document meets the leader of
+    each of its keys. One that is then connected with a key's leader, by whatever
+    links, is done with that key. The others meet ever more members of the key
+    that they are not connected with, drawn by a hash, eight times as many a
+    round, until links connect them with the leader or they have met all members.
     """
-    entries = sketched.select("row", "shingles", F.posexplode("keys").alias("k", "key"))
-    shared = entries.groupBy("k", "key").agg(F.min("row").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    members = work.store(entries.join(shared, ["k", "key"]), "members")
+    members = key_members(sketched, work)
     candidates = members.select("row").distinct()
     texts = work.store(texts.join(candidates, "row", "left_semi"), "texts", compression="zstd")
-    longest = F.greatest("shingles", "other_shingles")
-    comparable = F.least("shingles", "other_shingles") >= SIMILARITY * longest
-    todo = members.filter("row != leader")
-    links, tested, leaders, largest = None, None, 1, members.agg(F.max("n")).first()[0] or 0
-    while True:
-        if leaders == 1:
-            met = F.col("row") == F.col("leader")
-            drawn = members.filter(met)
-        else:
-            draw = F.pmod(F.xxhash64("row", "k", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-            drawn = members.filter((draw * F.col("n") < leaders) & (draw * F.col("n") >= (leaders // 4 if leaders > 4 else 0)))
-        other = drawn.select("k", "key", F.col("row").alias("other"), F.col("shingles").alias("other_shingles"))
-        pairs = (
-            todo.join(other, ["k", "key"])
-            .filter((F.col("row") != F.col("other")) & comparable)
-            .select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = work.store(verified(pairs, texts), f"pairs-{leaders}")
-        tested = found if tested is None else tested.unionByName(found)
+    lengths = sketched.select(F.col("row").alias("other"), F.col("shingles").alias("other_shingles"))
+    comparable = F.least("shingles", "other_shingles") >= SIMILARITY * F.greatest("shingles", "other_shingles")
+    ordered = [F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")]
+    stars = members.filter("row != leader").select("row", "shingles", F.col("leader").alias("other")).distinct()
+    pairs = stars.join(lengths, "other").filter(comparable).select(*ordered).distinct()
+    tested = work.store(verified(pairs, texts), "pairs")
+    links = tested.filter("linked").select("a", "b")
+    rooted = _with_roots(members, components(links, work))
+    todo = work.store(rooted.filter("root != leader_root AND n > 2"), "todo")
+    rooted = work.store(
+        rooted.join(todo.select("k", "key").distinct(), ["k", "key"], "left_semi").select(
+            "k", "key", "n", F.col("row").alias("other"), F.col("shingles").alias("other_shingles"), F.col("root").alias("other_root")
+        ),
+        "others",
+    )
+    draw = F.pmod(F.xxhash64("other", "k", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("n")
+    leaders, largest = 0, todo.agg(F.max("n")).first()[0] or 0
+    while leaders < largest:
+        fewer, leaders = leaders, max(MORE_LEADERS, leaders * MORE_LEADERS)
+        others = rooted.filter((draw >= fewer) & (draw < leaders)).drop("n")
+        met = todo.join(others, ["k", "key"]).filter((F.col("root") != F.col("other_root")) & comparable)
+        pairs = met.select(*ordered).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        found = work.store(verified(pairs, texts), "pairs")
+        tested = tested.unionByName(found)
         new = found.filter("linked").select("a", "b")
-        links = new if links is None else links.unionByName(new)
-        if leaders >= largest:
-            return links
-        # Linked to a document with the same key: reached within this key.
-        partner = links.select(F.col("a").alias("row"), F.col("b").alias("to")).unionByName(
-            links.select(F.col("b").alias("row"), F.col("a").alias("to"))
-        )
-        reached = (
-            todo.select("row", "k", "key")
-            .join(partner, "row")
-            .join(members.select(F.col("row").alias("to"), "k", "key"), ["to", "k", "key"], "left_semi")
-            .select("row", "k", "key")
-            .distinct()
-        )
-        left = todo.filter("n > 2").join(reached, ["row", "k", "key"], "left_anti")
-        todo = work.store(left, f"todo-{leaders}")
-        if todo.isEmpty():
-            return links
-        largest = todo.agg(F.max("n")).first()[0]
-        leaders *= 4
+        links = links.unionByName(new)
+        if leaders < largest:
+            todo = todo.filter(F.col("n") > leaders)
+            if not new.isEmpty():
+                todo = _with_roots(todo.drop("root", "leader_root"), components(links, work)).filter("root != leader_root")
+            todo = work.store(todo, "todo")
+            largest = todo.agg(F.max("n")).first()[0] or 0
+    return links
+
+
+def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members with the component of the row and of its key's leader; a row without links is its own."""
+    leaders = roots.select(F.col("row").alias("leader"), F.col("root").alias("leader_root"))
+    return (
+        members.join(roots, "row", "left")
+        .join(leaders, "leader", "left")
+        .withColumns({"root": F.coalesce("root", "row"), "leader_root": F.coalesce("leader_root", "leader")})
+    )
 
 
 def components(links: DataFrame, work: Workspace) -> DataFrame:
