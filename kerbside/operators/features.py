@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.trips import month_index, parse_month
 from kerbside.operators.insights import keep_members, top_zones
-from kerbside.settings import TEST_START, TOP_ZONES, TRAIN_END
+from kerbside.settings import END_MONTH, START_MONTH, TEST_START, TOP_ZONES, TRAIN_END
 
 SERIES = {
     "service_zone": (["service_type", "zone_id"], ["ts_hour"]),
@@ -33,7 +33,7 @@ FEATURES = (
 
 def keep_top_zones(demand: DataFrame, n: int = TOP_ZONES) -> DataFrame:
     """Demand rows of the n busiest zones."""
-    return keep_members(demand, top_zones(demand, n).select("zone_id"), "zone_id", n)
+    return keep_members(demand, top_zones(demand, n).select("zone_id"), "zone_id")
 
 
 def series_window(partition: str) -> WindowSpec:
@@ -41,19 +41,33 @@ def series_window(partition: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def fill_hours(demand: DataFrame, hours: tuple[Column, Column] | None = None) -> DataFrame:
-    """One row per service, zone and hour of the range; hours without trips get zero pickups.
+def month_range(start: str = START_MONTH, end: str = END_MONTH) -> tuple[Column, Column]:
+    """First and last hour of the months from start to end, both included."""
+    (y, m), (ny, nm) = parse_month(start), parse_month(end)
+    ny, nm = ny + nm // 12, nm % 12 + 1
+    first, after = (F.make_timestamp(*[F.lit(v) for v in (y, m, 1, 0, 0, 0)]) for y, m in ((y, m), (ny, nm)))
+    return first, after - F.expr("INTERVAL 1 HOUR")
 
+
+def outside_hours(demand: DataFrame, months: tuple[str, str] = (START_MONTH, END_MONTH)) -> DataFrame:
+    """Rows and pickups per series that hour filling leaves out as stray."""
+    stray = demand.filter(~F.col("ts_hour").between(*month_range(*months)))
+    return stray.groupBy("service_type", "zone_id").agg(
+        F.count("*").alias("hours"), F.sum("pickups").alias("pickups")
+    )
+
+
+def fill_hours(demand: DataFrame, months: tuple[str, str] = (START_MONTH, END_MONTH)) -> DataFrame:
+    """One row per service, zone and hour of the months; hours without trips get zero pickups.
+
+    Rows outside the months are left out: trip files hold stray dates decades
+    away, and the gaps to them would be filled. ``outside_hours`` reports them.
     Every row fills the gap up to its successor, so no spine is joined and the
-    series keep the partitioning the lags need. ``hours`` defaults to the first
-    and last hour of the frame.
+    series keep the partitioning the lags need. A series without a row in the
+    range stays absent.
     """
-    if hours is None:
-        hours = (
-            demand.select(F.min("ts_hour")).scalar(),
-            demand.select(F.max("ts_hour")).scalar(),
-        )
-    first, last = hours
+    first, last = month_range(*months)
+    demand = demand.filter(F.col("ts_hour").between(first, last))
     by_hour = series_window("service_zone")
     hour = F.expr("INTERVAL 1 HOUR")
     start = F.when(F.lag("ts_hour").over(by_hour).isNull(), first).otherwise(F.col("ts_hour"))
@@ -103,17 +117,19 @@ def forecast_features(
     densify: bool = False,
     lags: Sequence[int] = LAGS,
     rolling: Sequence[int] = ROLLING,
+    months: tuple[str, str] = (START_MONTH, END_MONTH),
 ) -> DataFrame:
     """Model rows: the mart, lags, rolling means, calendar columns and the next row's pickups.
 
     Rows that miss any of these are dropped. ``partition="zone"`` runs the
-    services of a zone through one series; ``densify`` makes rows equal hours.
+    services of a zone through one series; ``densify`` makes rows equal the hours
+    of ``months``.
     """
     if densify and partition != "service_zone":
         raise ValueError("densify works on service_zone series")
     rows = demand if top_n is None else keep_top_zones(demand, top_n)
     if densify:
-        rows = fill_hours(rows)
+        rows = fill_hours(rows, months)
     window = series_window(partition)
     lagged = rows.select(
         "*", *lag_columns(window, lags), F.lead("pickups", 1).over(window).alias("label")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators.features import FEATURES
 from kerbside.operators.insights import keep_members, top_by
-from kerbside.settings import PREDICTION_SAMPLE, SEED, SERIES_POINTS
+from kerbside.settings import SEED
 
 # The searched grid and the number of folds.
 MAX_DEPTH = (3, 5)
@@ -39,15 +39,17 @@ def param_grid(
 
 
 def with_folds(train: DataFrame, folds: int = FOLDS) -> DataFrame:
-    """Fold number from the row's zone and hour, the same in every run."""
-    return train.withColumn("fold", F.pmod(F.hash("zone_id", "ts_hour"), F.lit(folds)))
+    """Fold number from a digest of the row's zone and hour: the same in every run and every engine."""
+    key = F.concat_ws("|", "zone_id", F.date_format("ts_hour", "yyyy-MM-dd HH"))
+    number = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    return train.withColumn("fold", (number % folds).cast("int"))
 
 
 def cross_validate(
     train: DataFrame,
     max_depth: Sequence[int] = MAX_DEPTH,
     max_iter: Sequence[int] = MAX_ITER,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Best of the grid by mean RMSE over the key-hash folds, refitted on all rows.
 
@@ -91,12 +93,9 @@ def baseline_metrics(test: DataFrame) -> DataFrame:
     return metrics(test, {model: c for model, c in naive.items() if c in test.columns})
 
 
-def evaluate_model(
-    model: CrossValidatorModel | PipelineModel, test: DataFrame, name: str = "gbt_cv"
-) -> tuple[DataFrame, DataFrame]:
-    """(metrics, predictions) of a fitted model."""
-    predictions = model.transform(test)
-    return metrics(predictions, {name: "prediction"}), predictions
+def model_metrics(predictions: DataFrame, name: str = "gbt_cv") -> DataFrame:
+    """Metrics of scored rows; pass them as stored, or the model is applied again."""
+    return metrics(predictions, {name: "prediction"})
 
 
 def metrics_table(*parts: DataFrame) -> DataFrame:
@@ -137,21 +136,21 @@ def cross_validation_table(spark: SparkSession, model: CrossValidatorModel) -> D
     return spark.createDataFrame(rows, "max_depth int, max_iter int, avg_rmse double")
 
 
-def prediction_sample(predictions: DataFrame, n: int = PREDICTION_SAMPLE) -> DataFrame:
-    """At most n predictions, the same ones in every run, without the vector column."""
-    order = [F.xxhash64(*ROW_KEY), *ROW_KEY]
-    return predictions.drop("features").orderBy(*order).limit(n)
+def prediction_table(predictions: DataFrame, n: int | None = None) -> DataFrame:
+    """The predictions without the vector column; with ``n``, so many, the same ones in every run."""
+    plain = predictions.drop("features")
+    return plain if n is None else plain.orderBy(F.xxhash64(*ROW_KEY), *ROW_KEY).limit(n)
 
 
 def busiest_zone_series(
-    predictions: DataFrame, prediction: str = "prediction", n: int = SERIES_POINTS
+    predictions: DataFrame, prediction: str = "prediction", n: int | None = None
 ) -> DataFrame:
-    """First n points of actual and predicted demand in the zone with the largest label total."""
+    """Actual and predicted demand in the zone with the largest label total; with ``n``, its first points."""
     totals = predictions.groupBy("zone_id").agg(F.sum("label").alias("total"))
     busiest = top_by(totals, "zone_id", "total", 1).select("zone_id")
-    return (
-        keep_members(predictions, busiest, "zone_id", 1)
+    series = (
+        keep_members(predictions, busiest, "zone_id")
         .orderBy("ts_hour", "service_type")
         .select("ts_hour", "service_type", "zone_id", "label", F.col(prediction).alias("prediction"))
-        .limit(n)
     )
+    return series if n is None else series.limit(n)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.trips import zone_group
-from kerbside.settings import BROADCAST_ROWS, TREND_MIN_TRIPS, ZONE_GROUPS
+from kerbside.settings import TREND_MIN_TRIPS, ZONE_GROUPS
 
 
 def top_by(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
@@ -16,10 +16,8 @@ def top_by(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
     return df.orderBy(F.desc(measure), F.asc(key)).limit(n)
 
 
-def keep_members(df: DataFrame, members: DataFrame, key: str, at_most: int) -> DataFrame:
-    """Rows whose key is in ``members``, which holds at most ``at_most`` rows."""
-    if at_most <= BROADCAST_ROWS:
-        members = F.broadcast(members)
+def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in ``members``. A top-n frame tells Spark its size, which picks the join by it."""
     return df.join(members, key, "left_semi").select(df.columns)
 
 

@@ -27,13 +27,17 @@ def seconds_to_compute(df: DataFrame) -> float:
 def time_cached_and_uncached(
     spark: SparkSession, demand: DataFrame, label: str = "zone_hour_demand"
 ) -> DataFrame:
-    """experiment, elapsed_sec of the zone aggregation on the frame as it is, then cached."""
+    """experiment, elapsed_sec of the zone aggregation on the frame as it is, then cached.
+
+    Each kind runs once unmeasured, so that neither pays for compiling.
+    """
+    seconds_to_compute(demand_by_zone(demand))
     uncached = seconds_to_compute(demand_by_zone(demand))
     cached_frame = demand.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cached_frame.count()
+        seconds_to_compute(demand_by_zone(cached_frame))
         cached = seconds_to_compute(demand_by_zone(cached_frame))
     finally:
         cached_frame.unpersist(blocking=True)
-    rows = [(f"{label}_no_cache", round(uncached, 2)), (f"{label}_cached", round(cached, 2))]
+    rows = [(f"{label}_no_cache", round(uncached, 3)), (f"{label}_cached", round(cached, 3))]
     return spark.createDataFrame(rows, "experiment string, elapsed_sec double")

@@ -123,12 +123,12 @@ busiest AS (
     SELECT zone_id FROM demand GROUP BY zone_id ORDER BY sum(pickups) DESC, zone_id LIMIT 50))"""
 
 _DENSE = """
-bounds AS (SELECT min(ts_hour) AS lo, max(ts_hour) AS hi FROM busiest),
-hours AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts_hour FROM bounds),
+hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-12-01', TIMESTAMP '2025-01-31 23:00:00', INTERVAL 1 HOUR)) AS ts_hour),
 dense AS (
   SELECT g.service_type, g.zone_id, h.ts_hour, coalesce(b.pickups, 0) AS pickups,
          b.avg_total_amount, b.avg_trip_distance, b.p50_duration, b.p95_duration
-  FROM (SELECT DISTINCT service_type, zone_id FROM busiest) AS g CROSS JOIN hours AS h
+  FROM (SELECT DISTINCT service_type, zone_id FROM busiest
+        WHERE ts_hour BETWEEN TIMESTAMP '2024-12-01' AND TIMESTAMP '2025-01-31 23:00:00') AS g CROSS JOIN hours AS h
   LEFT JOIN busiest AS b
     ON b.service_type = g.service_type AND b.zone_id = g.zone_id AND b.ts_hour = h.ts_hour)"""
 
@@ -165,6 +165,9 @@ _SHIPPED_CALENDAR = _calendar(
     "FROM trips",
 )
 
+_LANDED = """
+landed AS (SELECT * FROM trips WHERE service_type = 'green' AND year = 1995 AND month = 6)"""
+
 # What the loader should see of the drifting files: no measures for fhv, no yellow fares in odd years.
 _MONTH_TOTALS = """
   service_type, year, month, count(*) AS trips,
@@ -402,6 +405,41 @@ UNION ALL SELECT 'baseline_seasonal', round(round(mae_23, 10), 6), round(round(r
             f"tested AS (SELECT * FROM built WHERE {_TEST})",
             select="""SELECT ts_hour, service_type, zone_id, label, lag_24 AS prediction FROM tested
 WHERE zone_id = (SELECT zone_id FROM tested GROUP BY zone_id ORDER BY sum(label) DESC, zone_id LIMIT 1)
-ORDER BY ts_hour, service_type LIMIT 500""",
+ORDER BY ts_hour, service_type""",
+        ),
+        "subset_job": _with(
+            _B,
+            _LANDED,
+            select=f"""SELECT {_TRIP_COLUMNS} FROM landed WHERE pu_location_id IN (
+  SELECT pu_location_id FROM landed GROUP BY pu_location_id
+  ORDER BY count(*) DESC, pu_location_id NULLS FIRST LIMIT 3)""",
+        ),
+        "subset_fallback": _with(_B, _LANDED, select=f"SELECT {_TRIP_COLUMNS} FROM landed"),
+        "cv_folds": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _BY_ZONE,
+            select=f"""SELECT CAST(('0x' || substr(md5(zone_id || '|' || strftime(ts_hour, '%Y-%m-%d %H')), 1, 8))::BIGINT % 3 AS INTEGER)
+  AS fold, count(*) AS rows FROM built WHERE {_TRAIN} GROUP BY fold""",
+        ),
+        "gbt_scored_rows": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _DENSE,
+            _DENSE_FEATURES,
+            select=f"""SELECT service_type, zone_id, ts_hour, pickups, lag_1, lag_23, lag_24, lag_168, label
+FROM built WHERE {_TEST}""",
+        ),
+        "dense_baselines": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _DENSE,
+            _DENSE_FEATURES,
+            _TEST_ERRORS,
+            select="""SELECT 'baseline_lag24' AS model, round(mae_24, 4) AS mae, round(rmse_24, 4) AS rmse FROM errors
+UNION ALL SELECT 'baseline_seasonal', round(mae_23, 4), round(rmse_23, 4) FROM errors""",
         ),
     }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from kerbside.operators import forecast
 from kerbside.operators.features import forecast_features, split_by_month
 from kerbside.session import pin_timezone
-from kerbside.settings import TEST_START, TOP_ZONES, TRAIN_END, Lake
+from kerbside.settings import END_MONTH, START_MONTH, TEST_START, TOP_ZONES, TRAIN_END, Lake
 from kerbside.sources.tables import save_parquet
 
 
 @dataclass(frozen=True)
 class ForecastRun:
+    """``predictions`` is a stored table, every scored row without the vector column."""
+
     model: CrossValidatorModel
     metrics: DataFrame
     predictions: DataFrame
@@ -27,6 +29,7 @@ class ForecastRun:
 def fit_and_score(
     train: DataFrame,
     test: DataFrame,
+    stored: Callable[[DataFrame], DataFrame],
     max_depth: Sequence[int] = forecast.MAX_DEPTH,
     max_iter: Sequence[int] = forecast.MAX_ITER,
 ) -> ForecastRun:
@@ -34,17 +37,19 @@ def fit_and_score(
 
     Both should be stored or checkpointed frames. The training rows stay cached
     while the grid is searched, spilling to disk; they come back from storage
-    when an executor is lost.
+    when an executor is lost. ``stored`` writes the predictions and reads them
+    back: the model is applied once, and all reports come from the table.
     """
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = forecast.cross_validate(cached, max_depth, max_iter)
     finally:
         cached.unpersist()
-    scores, predictions = forecast.evaluate_model(model, test)
+    predictions = stored(forecast.prediction_table(model.transform(test)))
+    scores = forecast.model_metrics(predictions)
     return ForecastRun(
         model=model,
-        metrics=forecast.metrics_table(forecast.baseline_metrics(test), scores),
+        metrics=forecast.metrics_table(forecast.baseline_metrics(predictions), scores),
         predictions=predictions,
         importances=forecast.feature_importances(test.sparkSession, model),
     )
@@ -61,14 +66,25 @@ def run_forecast(
     test_start: str = TEST_START,
     max_depth: Sequence[int] = forecast.MAX_DEPTH,
     max_iter: Sequence[int] = forecast.MAX_ITER,
+    months: tuple[str, str] = (START_MONTH, END_MONTH),
+    sample_rows: int | None = None,
 ) -> ForecastRun:
-    """Build and store features from the stored mart, then train, score and store the reports."""
+    """Build and store features from the stored mart, then train, score and store the reports.
+
+    ``months`` is the range that ``densify`` fills. All predictions are stored;
+    ``sample_rows`` asks for a table of so many of them besides.
+    """
     pin_timezone(spark)
-    features = forecast_features(demand, top_n, partition, densify)
+    features = forecast_features(demand, top_n, partition, densify, months=months)
     save_parquet(features, lake.gold("model_features"), ("feat_year", "feat_month"), rebalance=True)
-    stored = spark.read.parquet(lake.gold("model_features"))
-    train, test = split_by_month(stored, train_end, test_start)
-    run = fit_and_score(train, test, max_depth, max_iter)
+    train, test = split_by_month(spark.read.parquet(lake.gold("model_features")), train_end, test_start)
+
+    def stored(predictions: DataFrame) -> DataFrame:
+        save_parquet(predictions, lake.gold("model_predictions"))
+        return spark.read.parquet(lake.gold("model_predictions"))
+
+    run = fit_and_score(train, test, stored, max_depth, max_iter)
     save_parquet(run.metrics, lake.gold("model_metrics"))
-    save_parquet(forecast.prediction_sample(run.predictions), lake.gold("model_predictions_sample"))
+    if sample_rows is not None:
+        save_parquet(forecast.prediction_table(run.predictions, sample_rows), lake.gold("model_predictions_sample"))
     return run

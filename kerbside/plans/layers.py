@@ -83,6 +83,7 @@ def build_silver(
 
 def build_marts(spark: SparkSession, lake: Lake, trips: DataFrame) -> dict[str, DataFrame]:
     """Write the three marts and return them as stored."""
+    pin_timezone(spark)
     for name, mart in MARTS.items():
         save_parquet(mart.build(trips), lake.gold(name), mart.partition_cols, rebalance=True)
     return read_marts(spark, lake)

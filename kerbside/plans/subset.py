@@ -21,7 +21,7 @@ def busiest_pickup_zones(trips: DataFrame, n: int) -> DataFrame:
 
 def keep_busiest_zones(trips: DataFrame, n: int = SUBSET_ZONES) -> DataFrame:
     zones = busiest_pickup_zones(trips, n).select("pu_location_id")
-    return keep_members(trips, zones, "pu_location_id", n)
+    return keep_members(trips, zones, "pu_location_id")
 
 
 def one_month(spark: SparkSession, lake: Lake, service: str, month: str) -> DataFrame | None:
@@ -46,9 +46,11 @@ def make_subset(
     return read_trips(spark, lake.subset)
 
 
-def load_subset(spark: SparkSession, lake: Lake) -> DataFrame | None:
-    """The stored subset, or the configured raw month when none is stored."""
+def load_subset(
+    spark: SparkSession, lake: Lake, month: str = SUBSET_MONTH, service: str = SUBSET_SERVICE
+) -> DataFrame | None:
+    """The stored subset, or the raw month when none is stored."""
     pin_timezone(spark)
     if try_read(spark, lake.subset) is not None:
         return read_trips(spark, lake.subset)
-    return one_month(spark, lake, SUBSET_SERVICE, SUBSET_MONTH)
+    return one_month(spark, lake, service, month)

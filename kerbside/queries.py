@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from dataclasses import replace
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +16,8 @@ from kerbside.operators import features, forecast, harmonise, insights, marts, p
 from kerbside.plans.forecasting import ForecastRun, fit_and_score
 from kerbside.plans.layers import load_trips
 from kerbside.plans.recode import MONTH_FOLDERS, recode_months, write_months
-from kerbside.plans.subset import keep_busiest_zones
-from kerbside.session import Workspace, pin_timezone, scratch_path
+from kerbside.plans.subset import keep_busiest_zones, load_subset, make_subset
+from kerbside.session import Workspace, pin_timezone
 from kerbside.settings import AIRPORT_ZONES, END_MONTH, MIDTOWN_ZONES, SERVICES, START_MONTH, Lake
 from kerbside.sources import months as M
 from kerbside.sources.jdbc import year_slice
@@ -28,10 +31,45 @@ TOP_ZONES = 5
 SUBSET = {"service": "green", "year": 2024, "month": 12, "zones": 3}
 RAW_RANGE = ("1994-01", "2002-12")
 LAGS_WITH_SEASONAL = (1, 23, 24, 168)
-SMALL_GRID = {"max_depth": (2, 3), "max_iter": (3,)}
+SUBSET_MONTH = {"month": "1995-06", "service": "green"}
+DENSE_MONTHS = ("2024-12", "2025-01")
 
 _REGISTRY: dict[str, Query] = {}
-_SESSION_RESULTS: dict[tuple, object] = {}
+_RUNS: WeakKeyDictionary[SparkSession, dict[str, QueryRun]] = WeakKeyDictionary()
+
+
+class QueryRun:
+    """What several queries over one input share: stored copies and the fitted model, built once.
+
+    ``close`` removes the tables. Inputs are taken to stay as they are until then.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+        self.work = Workspace(spark, "queries")
+        self._built: dict[str, object] = {}
+
+    def once(self, name: str, build: Callable[[], object]):
+        if name not in self._built:
+            self._built[name] = build()
+        return self._built[name]
+
+    def close(self) -> None:
+        self._built.clear()
+        self.work.close()
+
+
+def run_over(spark: SparkSession, sf_dir: str) -> QueryRun:
+    runs = _RUNS.setdefault(spark, {})
+    if sf_dir not in runs:
+        runs[sf_dir] = QueryRun(spark, sf_dir)
+    return runs[sf_dir]
+
+
+def close_runs(spark: SparkSession) -> None:
+    """Forget and remove what queries of this session have stored."""
+    for run in _RUNS.pop(spark, {}).values():
+        run.close()
 
 
 def query(fn: Query) -> Query:
@@ -57,14 +95,6 @@ def presented(df: DataFrame) -> DataFrame:
     return df.select(*[column(field) for field in df.schema.fields])
 
 
-def once_per_session(spark: SparkSession, sf_dir: str, name: str, build: Callable):
-    """Several queries report on one stored copy or one fitted model; build it once."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _SESSION_RESULTS:
-        _SESSION_RESULTS[key] = build()
-    return _SESSION_RESULTS[key]
-
-
 def all_queries() -> dict[str, Query]:
     return dict(_REGISTRY)
 
@@ -74,7 +104,8 @@ def _demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Workspace(spark).store(_demand(spark, sf_dir), "demand")
+    run = run_over(spark, sf_dir)
+    return run.once("demand", lambda: run.work.store(_demand(spark, sf_dir), "demand"))
 
 
 def _reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +127,7 @@ def service_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "silver")
+    path = run_over(spark, sf_dir).work.path("silver")
     trips = proxies.event_trips(spark, sf_dir)
     save_parquet(trips, path, ("service_type", "year", "month"), rebalance=True)
     return read_trips(spark, path)
@@ -215,12 +246,7 @@ def _landed(trips: DataFrame) -> DataFrame:
 @query
 def month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Service-months between the first and the last trip."""
-    span = (
-        proxies.shipped_trips(spark, sf_dir)
-        .agg(*[F.date_format(f("pickup_datetime"), "yyyy-MM") for f in (F.min, F.max)])
-        .first()
-    )
-    return M.expected_months(spark, SERVICES, *span)
+    return M.spanned_months(proxies.shipped_trips(spark, sf_dir), "pickup_datetime")
 
 
 @query
@@ -237,7 +263,8 @@ def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_raw_months(spark: SparkSession, sf_dir: str) -> Lake:
     """Lineitem rides as monthly files whose headers, types and columns drift by year."""
-    root = scratch_path(spark, "months")
+    work = run_over(spark, sf_dir).work
+    root = work.path("months")
     rides = proxies.shipped_rides(spark, sf_dir).select(
         "*", F.year("pickup_datetime").alias("y"), F.month("pickup_datetime").alias("m")
     )
@@ -267,7 +294,7 @@ def _write_raw_months(spark: SparkSession, sf_dir: str) -> Lake:
             .drop(*dropped)
         )
         write_months(raw, root, service, "y", "m", "zstd")
-    return Lake(raw=root, out=scratch_path(spark, "out"), month_layout=MONTH_FOLDERS)
+    return Lake(raw=root, out=work.path("out"), month_layout=MONTH_FOLDERS)
 
 
 def _times(pickup: str, dropoff: str) -> dict[str, str]:
@@ -275,7 +302,7 @@ def _times(pickup: str, dropoff: str) -> dict[str, str]:
 
 
 def _raw_months(spark: SparkSession, sf_dir: str) -> Lake:
-    return once_per_session(spark, sf_dir, "months", lambda: _write_raw_months(spark, sf_dir))
+    return run_over(spark, sf_dir).once("months", lambda: _write_raw_months(spark, sf_dir))
 
 
 def _month_totals(trips: DataFrame, *extra) -> DataFrame:
@@ -317,11 +344,29 @@ def landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reencoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same totals after rewriting the files with another codec."""
     source = _raw_months(spark, sf_dir)
-    recoded = recode_months(spark, source, scratch_path(spark, "recoded"), "snappy", SERVICES, *RAW_RANGE)
+    recoded = recode_months(
+        spark, source, run_over(spark, sf_dir).work.path("recoded"), "snappy", SERVICES, *RAW_RANGE
+    )
     trips, _ = load_trips(spark, recoded, SERVICES, *RAW_RANGE)
     return _month_totals(trips)
 
 
+@query
+def subset_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored subset of one landed month: written by the job, read back by the loader."""
+    lake = _raw_months(spark, sf_dir)
+    lake = replace(lake, out=run_over(spark, sf_dir).work.path("subset"))
+    make_subset(spark, lake, **SUBSET_MONTH, max_zones=SUBSET["zones"])
+    return load_subset(spark, lake, **SUBSET_MONTH)
+
+
+@query
+def subset_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed month itself where no subset is stored."""
+    lake = _raw_months(spark, sf_dir)
+    return load_subset(spark, replace(lake, out=run_over(spark, sf_dir).work.path("no-subset")), **SUBSET_MONTH)
+
+
 # Features
 
 
@@ -362,7 +407,7 @@ def forecast_features_by_service(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def features_densified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.forecast_features(_stored_demand(spark, sf_dir), densify=True)
+    return features.forecast_features(_stored_demand(spark, sf_dir), densify=True, months=DENSE_MONTHS)
 
 
 def _split(spark: SparkSession, sf_dir: str, lags=features.LAGS) -> tuple[DataFrame, DataFrame]:
@@ -401,14 +446,23 @@ def busiest_zone_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.busiest_zone_series(test, prediction="lag_24")
 
 
-def _fitted(spark: SparkSession, sf_dir: str) -> ForecastRun:
-    def fit() -> ForecastRun:
+def _dense_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    run = run_over(spark, sf_dir)
+
+    def build() -> DataFrame:
         built = features.forecast_features(
-            _stored_demand(spark, sf_dir), densify=True, lags=LAGS_WITH_SEASONAL
+            _stored_demand(spark, sf_dir), densify=True, lags=LAGS_WITH_SEASONAL, months=DENSE_MONTHS
         )
-        return fit_and_score(*features.split_by_month(Workspace(spark).store(built, "features")), **SMALL_GRID)
+        return run.work.store(built, "features")
 
-    return once_per_session(spark, sf_dir, "fitted", fit)
+    return features.split_by_month(run.once("features", build))
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> ForecastRun:
+    """The full grid, fitted once for all queries that report on it."""
+    run = run_over(spark, sf_dir)
+    keep = functools.partial(run.work.store, name="predictions")
+    return run.once("fitted", lambda: fit_and_score(*_dense_split(spark, sf_dir), keep))
 
 
 @query
@@ -433,7 +487,20 @@ def gbt_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forecast.prediction_sample(_fitted(spark, sf_dir).predictions)
+    return _fitted(spark, sf_dir).predictions
+
+
+@query
+def gbt_scored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stored predictions say about their rows: every row of the test split, as it was."""
+    keys = ("service_type", "zone_id", "ts_hour", "pickups", "lag_1", "lag_23", "lag_24", "lag_168", "label")
+    return _fitted(spark, sf_dir).predictions.select(*keys)
+
+
+@query
+def dense_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline rows of the model's metrics table."""
+    return _fitted(spark, sf_dir).metrics.filter("model LIKE 'baseline%'")
 
 
 @query

@@ -44,24 +44,33 @@ class ServiceColumns:
         return self.candidates.get(canonical, ())
 
 
-def _columns(prefix: str, measures: bool) -> ServiceColumns:
-    times = {
-        f"{end}_datetime": tuple(dict.fromkeys((f"{prefix}{end}_datetime", f"{end}_datetime")))
-        for end in ("pickup", "dropoff")
-    }
-    zones = {
-        "pu_location_id": ("PULocationID", "pu_location_id"),
-        "do_location_id": ("DOLocationID", "do_location_id"),
-    }
-    own = {name: (name,) for name in MEASURES} if measures else {}
-    return ServiceColumns({**times, **zones, **own})
-
+_ZONES = {
+    "pu_location_id": ("PULocationID", "pu_location_id"),
+    "do_location_id": ("DOLocationID", "do_location_id"),
+}
+_MEASURES = {name: (name,) for name in MEASURES}
 
-# Header prefixes of the three services; fhv reports no measures.
+# The headers of the three services; fhv reports no measures.
 SERVICE_COLUMNS = {
-    "yellow": _columns("tpep_", measures=True),
-    "green": _columns("lpep_", measures=True),
-    "fhv": _columns("", measures=False),
+    "yellow": ServiceColumns(
+        {
+            "pickup_datetime": ("tpep_pickup_datetime", "pickup_datetime"),
+            "dropoff_datetime": ("tpep_dropoff_datetime", "dropoff_datetime"),
+            **_ZONES,
+            **_MEASURES,
+        }
+    ),
+    "green": ServiceColumns(
+        {
+            "pickup_datetime": ("lpep_pickup_datetime", "pickup_datetime"),
+            "dropoff_datetime": ("lpep_dropoff_datetime", "dropoff_datetime"),
+            **_ZONES,
+            **_MEASURES,
+        }
+    ),
+    "fhv": ServiceColumns(
+        {"pickup_datetime": ("pickup_datetime",), "dropoff_datetime": ("dropoff_datetime",), **_ZONES}
+    ),
 }
 
 

@@ -21,11 +21,6 @@ AIRPORT_ZONES = (132, 138, 1)
 MIDTOWN_ZONES = (161, 162, 163)
 ZONE_GROUPS = {"Airport": AIRPORT_ZONES, "Midtown": MIDTOWN_ZONES}
 TREND_MIN_TRIPS = 1_000
-PREDICTION_SAMPLE = 50_000
-SERIES_POINTS = 500
-
-# A frame is only hinted for broadcast when it cannot hold more rows than this.
-BROADCAST_ROWS = 10_000
 
 
 @dataclass(frozen=True)

@@ -14,11 +14,13 @@ _DEFAULT_PORT = "5432"
 _DRIVER = "org.postgresql.Driver"
 EXPORT_YEAR = 2025
 
-# Bounds how many tasks hold a database connection at once.
-_MAX_CONNECTIONS = 8
+# How many tasks hold a database connection at once, unless the caller says otherwise.
+CONNECTIONS = 8
 
 
-def target_from_env(env: Mapping[str, str] | None = None) -> tuple[str, dict[str, str]] | None:
+def target_from_env(
+    env: Mapping[str, str] | None = None, connections: int = CONNECTIONS
+) -> tuple[str, dict[str, str]] | None:
     """JDBC url and properties, None when the environment names no complete target."""
     env = os.environ if env is None else env
     given = {key: env.get(variable) for key, variable in _ENV.items()}
@@ -30,7 +32,7 @@ def target_from_env(env: Mapping[str, str] | None = None) -> tuple[str, dict[str
         "password": given["password"],
         "driver": _DRIVER,
         "batchsize": "10000",
-        "numPartitions": str(_MAX_CONNECTIONS),
+        "numPartitions": str(connections),
     }
     return url, properties
 
@@ -60,13 +62,18 @@ def export_curated(
     demand: DataFrame | None = None,
     prefix: str = "",
     env: Mapping[str, str] | None = None,
+    year: int = EXPORT_YEAR,
 ) -> dict[str, bool]:
-    """Export the curated set, one outcome per target table. Demand is cut to its export year."""
+    """Export the curated set, one outcome per target table.
+
+    Demand is exported as given; ``year`` only names its table. Cut it with
+    ``year_slice`` first.
+    """
     frames = {
         "monthly_service_summary": monthly,
         "model_metrics": metrics,
         "perf_timings": timings,
     }
     if demand is not None:
-        frames[f"zone_hour_demand_{EXPORT_YEAR}"] = year_slice(demand)
+        frames[f"zone_hour_demand_{year}"] = demand
     return {prefix + name: export_table(df, prefix + name, env=env) for name, df in frames.items()}

@@ -55,6 +55,15 @@ def expected_months(
     return month_spine(spark, start, end).select(names, "year", "month")
 
 
+def spanned_months(rows: DataFrame, time: str, services: Iterable[str] = SERVICES) -> DataFrame:
+    """One row per service and month between the first and the last time; none without rows."""
+    first, last = (F.trunc(f(time).cast("date"), "month") for f in (F.min, F.max))
+    spine = rows.agg(first.alias("first"), last.alias("last")).filter("first IS NOT NULL")
+    months = spine.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 MONTH"))).alias("first_day"))
+    names = F.explode(F.array(*[F.lit(s) for s in services])).alias("service_type")
+    return months.select(names, F.year("first_day").alias("year"), F.month("first_day").alias("month"))
+
+
 def expected_file_counts(expected: DataFrame) -> DataFrame:
     """Expected files per service."""
     return expected.groupBy("service_type").agg(F.count("*").alias("expected_files"))

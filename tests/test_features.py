@@ -1,10 +1,14 @@
+import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.operators import features as X
 from tests.trips import START, demand, shuffled
 
+MONTHS = ("2024-12", "2024-12")
+MIDNIGHT = dt.datetime(2024, 12, 1)
 KEY = ("service_type", "zone_id", "ts_hour")
 
 
@@ -69,7 +73,8 @@ def test_only_top_zones_remain(spark):
 
 def test_fill_hours(spark):
     rows = [("yellow", 1, 2, 7), ("yellow", 1, 5, 1), ("green", 1, 0, 3), ("green", 2, 6, 4)]
-    filled = X.fill_hours(demand(spark, rows))
+    filled = X.fill_hours(demand(spark, rows), MONTHS)
+    filled = filled.filter(F.col("ts_hour").between(F.lit(START), F.lit(START + dt.timedelta(hours=6))))
     got = {(r.service_type, r.zone_id): {} for r in filled.collect()}
     for r in filled.collect():
         got[(r.service_type, r.zone_id)][int((r.ts_hour - START).total_seconds() // 3600)] = r.pickups
@@ -82,10 +87,24 @@ def test_fill_hours(spark):
     assert filled.columns == demand(spark, []).columns
 
 
+def test_fill_hours_leaves_stray_dates_out(spark):
+    hours = 24 * 31
+    base = [("yellow", 1, 3, 7), ("yellow", 1, 700, 1)]
+    stray = [("yellow", 1, -24 * 365 * 20, 1), ("yellow", 1, 24 * 365 * 70, 1), ("green", 5, 24 * 900, 2)]
+    for rows in (base, base + stray, base + stray[:1], base + stray[1:2]):
+        filled = X.fill_hours(demand(spark, rows), MONTHS).collect()
+        assert len(filled) == hours and sum(r.pickups for r in filled) == 8
+        assert min(r.ts_hour for r in filled) == MIDNIGHT
+        assert max(r.ts_hour for r in filled) == MIDNIGHT + dt.timedelta(hours=hours - 1)
+    assert X.fill_hours(demand(spark, stray), MONTHS).count() == 0
+    left_out = X.outside_hours(demand(spark, base + stray), MONTHS).collect()
+    assert {(r.service_type, r.zone_id): (r.hours, r.pickups) for r in left_out} == {("yellow", 1): (2, 2), ("green", 5): (1, 2)}
+
+
 def test_densified_rows_are_hours(spark):
     rows = [r for r in series(400) if r[2] % 7]
     by_hour = {h: p for _, _, h, p in rows}
-    for row in X.forecast_features(demand(spark, rows), densify=True).collect():
+    for row in X.forecast_features(demand(spark, rows), densify=True, months=MONTHS).collect():
         h = int((row.ts_hour - START).total_seconds() // 3600)
         assert row.lag_24 == by_hour.get(h - 24, 0) and row.label == by_hour.get(h + 1, 0)
 

@@ -7,6 +7,7 @@ from kerbside.operators import features as X
 from kerbside.operators import forecast as G
 from kerbside.operators.timing import time_cached_and_uncached
 from kerbside.plans.forecasting import fit_and_score
+from kerbside.session import Workspace
 from tests.trips import demand, shuffled
 
 
@@ -15,7 +16,8 @@ def fitted(spark):
     rows = [("yellow", z, h, 10 * z + (h % 24)) for z in (1, 2) for h in range(600)]
     built = X.forecast_features(demand(spark, rows), lags=(1, 23, 24, 168)).persist()
     train, test = built.filter("day(ts_hour) < 20"), built.filter("day(ts_hour) >= 20")
-    return train, test, fit_and_score(train, test, max_depth=(2,), max_iter=(2,))
+    with Workspace(spark) as work:
+        yield train, test, fit_and_score(train, test, lambda df: work.store(df, "predictions"), (2,), (2,))
 
 
 def test_default_grid_and_features():
@@ -78,9 +80,23 @@ def test_model_metrics_match_predictions(fitted):
 
 def test_sample_is_the_same_rows_every_time(fitted):
     predictions = fitted[2].predictions
-    first = G.prediction_sample(predictions, 20)
+    first = G.prediction_table(predictions, 20)
     assert "features" not in first.columns and first.count() == 20
-    assert first.exceptAll(G.prediction_sample(shuffled(predictions), 20)).count() == 0
+    assert first.exceptAll(G.prediction_table(shuffled(predictions), 20)).count() == 0
+
+
+def test_reports_read_the_stored_predictions(fitted):
+    _, test, run = fitted
+    assert run.predictions.count() == test.count() and "features" not in run.predictions.columns
+    for report in (run.metrics, G.busiest_zone_series(run.predictions), G.prediction_table(run.predictions)):
+        text = report._jdf.queryExecution().optimizedPlan().toString()
+        assert "UDF" not in text and "InMemoryRelation" not in text, text
+
+
+def test_whole_series_without_a_limit(fitted):
+    predictions = fitted[2].predictions
+    assert G.busiest_zone_series(predictions).count() == predictions.filter("zone_id = 2").count()
+    assert G.prediction_table(predictions).count() == predictions.count()
 
 
 def test_busiest_zone_series(fitted):

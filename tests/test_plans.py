@@ -3,6 +3,7 @@
 import contextlib
 import datetime as dt
 import io
+import pathlib
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,7 +13,9 @@ import __spark_entry__ as contract
 from kerbside.operators import features, insights, marts
 from kerbside.plans import layers, subset
 from kerbside.plans.forecasting import run_forecast
+from kerbside.queries import all_queries, close_runs
 from kerbside.settings import Lake
+from kerbside.sources.months import spanned_months
 from kerbside.sources.tables import read_trips, save_parquet
 
 FIRST = dt.datetime(2024, 12, 10)
@@ -84,7 +87,7 @@ def test_forecast_run_stores_its_tables(spark, lake, stored):
         "baseline_lag24",
         "gbt_cv",
     }
-    sample = spark.read.parquet(lake.gold("model_predictions_sample"))
+    sample = spark.read.parquet(lake.gold("model_predictions"))
     assert sample.count() == run.predictions.count() and "features" not in sample.columns
     assert {"feat_year", "feat_month"} <= set(spark.read.parquet(lake.gold("model_features")).columns)
 
@@ -145,13 +148,41 @@ def test_top_zone_filter_is_a_broadcast_semi_join(stored):
     assert "BroadcastHashJoin" in text and "LeftSemi" in text and "TakeOrderedAndProject" in text
 
 
-def test_no_python_rows_and_no_cross_joins(spark):
-    lazy = [
-        "canonical_trips", "service_union", "zone_hour_demand", "monthly_service_summary",
-        "zone_hour_reliability", "zone_group_quartiles", "top_zones", "missing_months",
-        "lag_features", "rolling_features", "demand_heatmap_pivot",
-    ]
-    for name in lazy:
-        text = plan(contract.queries()[name](spark, contract.ENTRY_DIR))
-        for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
-            assert operator not in text, (name, operator)
+EAGER = (
+    "loaded_months", "raw_provenance", "landing_report", "reencoded", "silver_roundtrip", "subset_job",
+    "subset_fallback", "perf_timings", "cv_grid", "gbt_metrics", "gbt_predictions", "gbt_scored_rows",
+    "dense_baselines", "gbt_zone_series", "feature_importances",
+)
+
+
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - set(EAGER)))
+def test_no_python_rows_and_no_cross_joins(spark, name):
+    text = plan(all_queries()[name](spark, contract.ENTRY_DIR))
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in text, (name, operator)
+
+
+def test_month_spine_is_lazy_and_empty_without_rows(spark):
+    rows = spark.createDataFrame([], "at timestamp")
+    assert spanned_months(rows, "at").count() == 0
+    times = [(dt.datetime(2024, 11, 30),), (dt.datetime(2025, 2, 1),)]
+    spine = spanned_months(spark.createDataFrame(times, "at timestamp"), "at", ["fhv"]).collect()
+    assert [(r.year, r.month) for r in spine] == [(2024, 11), (2024, 12), (2025, 1), (2025, 2)]
+    assert "parquet" in plan(all_queries()["month_spine"](spark, contract.ENTRY_DIR))
+
+
+def test_closed_runs_leave_no_tables(spark):
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    session = spark.newSession()
+    before = set(folder.iterdir())
+    assert all_queries()["features_top_zones"](session, contract.ENTRY_DIR).count() > 0
+    assert set(folder.iterdir()) - before
+    close_runs(session)
+    assert set(folder.iterdir()) == before
+
+
+def test_subset_falls_back_to_the_month(spark, lake, tmp_path):
+    empty = Lake(lake.raw, str(tmp_path / "out"))
+    assert subset.load_subset(spark, empty) is None
+    landed = subset.load_subset(spark, empty, "2024-12", "green")
+    assert landed.count() == subset.one_month(spark, lake, "green", "2024-12").count()

@@ -42,10 +42,12 @@ def test_export_passes_target(spark, writes):
 def test_export_curated_set(spark, writes):
     rows = [("yellow", 1, 0, 5), ("yellow", 1, 24 * 31, 6)]
     small = [spark.range(n) for n in (1, 2, 3)]
-    outcome = jdbc.export_curated(*small, demand(spark, rows), prefix="x_", env=ENV)
+    outcome = jdbc.export_curated(*small, jdbc.year_slice(demand(spark, rows)), prefix="x_", env=ENV)
     assert "x_zone_hour_demand_2025" in outcome
     assert list(outcome.values()) == [True] * 4 and list(outcome) == [w[1] for w in writes]
     assert [r.ts_hour for r in writes[-1][4].collect()] == [START + dt.timedelta(days=31)]
+    jdbc.export_curated(*small, demand(spark, rows), env=ENV, year=2024)
+    assert writes[-1][1] == "zone_hour_demand_2024" and writes[-1][4].count() == 2
     assert len(jdbc.export_curated(spark.range(1), spark.range(1), spark.range(1), env={})) == 3
 
 
