@@ -119,10 +119,9 @@ def _codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def kneser_ney_ratios(word: np.ndarray, stems: list[np.ndarray], counts: list[np.ndarray]) -> Ratios:
-    """From expressions (a word after a word), each once, and how often each class has them (toxic, ordinary).
+    """From words, each once, their stems, and after how many words each class has seen them (toxic, ordinary).
 
-    ``word`` and ``stems`` are the second words. A level counts in how many
-    different expressions of the level above a class has seen it.
+    A stem counts in how many different words, or longer stems, a class has seen it.
     """
     level_keys, level_at = zip(*[_codes(k) for k in (word, *stems)], strict=True)
     parents = [_parents(level_at[i], level_at[i + 1], len(level_keys[i])) for i in range(len(stems))]
@@ -130,7 +129,7 @@ def kneser_ney_ratios(word: np.ndarray, stems: list[np.ndarray], counts: list[np
     shared /= shared.sum() + 1.0
     classes = []
     for count in counts:
-        totals = [np.bincount(level_at[0], (count > 0).astype(float), len(level_keys[0]))]
+        totals = [np.bincount(level_at[0], count, len(level_keys[0]))]
         for parent, keys in zip(parents, level_keys[1:], strict=True):
             totals.append(np.bincount(parent, (totals[-1] > 0).astype(float), len(keys)))
         below, probabilities, passing = shared, [], []
@@ -227,10 +226,12 @@ def fit(labelled: DataFrame, work: Workspace, model_rows: int = MODEL_ROWS, curv
         .unionByName(samples[1])
         .mapInArrow(count, ", ".join(f"{name} long" for name in names))
         .groupBy(*names[:-2])
+        .agg(F.max("toxic").alias("toxic"), F.max("ordinary").alias("ordinary"))
+        .groupBy(*names[1:-2])
         .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
         .toArrow()
     )
-    _, word, *stems, toxic, ordinary = [counted.column(name).to_numpy() for name in names]
+    word, *stems, toxic, ordinary = [counted.column(name).to_numpy() for name in names[1:]]
     ratios = kneser_ney_ratios(word.view(np.uint64), [s.view(np.uint64) for s in stems], [toxic, ordinary])
 
     spark = labelled.sparkSession
