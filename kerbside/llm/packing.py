@@ -3,9 +3,9 @@
 A piece goes to the open sequence, or to a new one, for which the sum over gaps
 g of (number of open sequences with gap g) squared becomes smallest. Only the
 counts per gap decide, so a step costs the same whatever is open. Shards of
-bounded size pack side by side; pieces of sequences that stay open are dealt
-again, to ever fewer shards, and packed tighter, longest first into the best
-fit, until few are open.
+bounded size pack side by side, longest pieces first, which leaves fewer
+sequences open than a random order; pieces of those are dealt again, to ever
+fewer shards, and go into the best fit, until few are open.
 """
 
 from __future__ import annotations
@@ -127,10 +127,7 @@ def pack_lengths(lengths: Sequence[int], capacity: int = CAPACITY, by_squares: b
 
 def _packed_shards(pieces: DataFrame, capacity: int, level: int) -> DataFrame:
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
-        if level:
-            shard = shard.sort_values(["length", "order"], ascending=[False, True])
-        else:
-            shard = shard.sort_values("order")
+        shard = shard.sort_values(["length", "order"], ascending=[False, True])
         sequence, offset, stayed_open = pack_lengths(shard["length"].to_numpy(), capacity, by_squares=level == 0)
         # Fixed layout: level, shard and number within the shard.
         base = (level << 58) + (int(shard["shard"].iloc[0]) << 30)

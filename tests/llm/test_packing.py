@@ -98,9 +98,9 @@ def test_shards_fill_nearly_all_of_their_sequences(spark, work):
     rng = np.random.default_rng(4)
     lengths = [int(n) for n in rng.integers(1, 1025, 6_000)]
     pieces = spark.createDataFrame([(n,) for n in lengths], "length long").repartition(4)
-    for shard_pieces in (40_000, 1_500):
+    for shard_pieces, waste in ((40_000, 1.02), (1_500, 1.03)):
         rows, n = check_packed(packing.pack(pieces, work, shard_pieces=shard_pieces), packing.CAPACITY)
-        assert len(rows) == 6_000 and n <= 1.02 * sum(lengths) / packing.CAPACITY
+        assert len(rows) == 6_000 and n <= waste * sum(lengths) / packing.CAPACITY
 
 
 def test_empty_tables(spark, work, tmp_path):
