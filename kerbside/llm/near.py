@@ -18,7 +18,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import fresh_name, text_or_empty
@@ -32,8 +32,8 @@ SIMILARITY = 0.8
 # 0.3 it meets in one with a chance of 7 %.
 KEYS = 30
 PER_KEY = 5
-# Leaders of a key grow by this factor a round.
-MORE_LEADERS = 8
+# Documents of a key that one task compares: so many unsettled ones with so many others.
+TILE_OPEN, TILE_OTHERS = 256, 512
 BATCH_CHARS = 2_000_000
 
 SKETCH_SCHEMA = "row long, id long, digest binary, shingles long, keys array<long>"
@@ -196,11 +196,11 @@ def key_members(sketched: DataFrame, work: Workspace) -> DataFrame:
 def links_within_keys(sketched: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
     """Links (a, b) that connect what is similar among documents that share a key.
 
-    Nothing is paired with everything. First each document meets the leader of
-    each of its keys. One that is then connected with a key's leader, by whatever
-    links, is done with that key. The others meet ever more members of the key
-    that they are not connected with, drawn by a hash, eight times as many a
-    round, until links connect them with the leader or they have met all members.
+    First each document meets the leader of each of its keys. One that is then
+    connected with a key's leader, by whatever links, is settled for that key.
+    The few others meet all documents of the key that they are not connected
+    with, in tiles of bounded size that hand on a link only where it connects
+    what was not connected yet: never a pair per row, and nothing is left out.
     """
     members = key_members(sketched, work)
     candidates = members.select("row").distinct()
@@ -210,34 +210,106 @@ def links_within_keys(sketched: DataFrame, texts: DataFrame, work: Workspace) ->
     ordered = [F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")]
     stars = members.filter("row != leader").select("row", "shingles", F.col("leader").alias("other")).distinct()
     pairs = stars.join(lengths, "other").filter(comparable).select(*ordered).distinct()
-    tested = work.store(verified(pairs, texts), "pairs")
-    links = tested.filter("linked").select("a", "b")
-    rooted = _with_roots(members, components(links, work))
-    todo = work.store(rooted.filter("root != leader_root AND n > 2"), "todo")
-    rooted = work.store(
-        rooted.join(todo.select("k", "key").distinct(), ["k", "key"], "left_semi").select(
-            "k", "key", "n", F.col("row").alias("other"), F.col("shingles").alias("other_shingles"), F.col("root").alias("other_root")
-        ),
-        "others",
+    links = work.store(verified(pairs, texts), "pairs").filter("linked").select("a", "b")
+    rooted = work.store(_with_roots(members, components(links, work)), "rooted")
+    tiles = _tiles(rooted, texts)
+    found = work.store(tiles.groupBy("k", "key", "part", "other_part").applyInArrow(_forest, "a long, b long"), "found")
+    more = work.store(verified(found.distinct(), texts), "pairs").filter("linked").select("a", "b")
+    return links.unionByName(more)
+
+
+def _tiles(rooted: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows of every tile: unsettled documents of a key (open) and all of a fitting length."""
+    unsettled = rooted.filter("root != leader_root AND n > 2")
+    per_key = unsettled.groupBy("k", "key").agg(
+        F.count("*").alias("n_open"), F.min("shingles").alias("shortest"), F.max("shingles").alias("longest")
     )
-    draw = F.pmod(F.xxhash64("other", "k", "key"), F.lit(1 << 40)) / F.lit(float(1 << 40)) * F.col("n")
-    leaders, largest = 0, todo.agg(F.max("n")).first()[0] or 0
-    while leaders < largest:
-        fewer, leaders = leaders, max(MORE_LEADERS, leaders * MORE_LEADERS)
-        others = rooted.filter((draw >= fewer) & (draw < leaders)).drop("n")
-        met = todo.join(others, ["k", "key"]).filter((F.col("root") != F.col("other_root")) & comparable)
-        pairs = met.select(*ordered).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = work.store(verified(pairs, texts), "pairs")
-        tested = tested.unionByName(found)
-        new = found.filter("linked").select("a", "b")
-        links = links.unionByName(new)
-        if leaders < largest:
-            todo = todo.filter(F.col("n") > leaders)
-            if not new.isEmpty():
-                todo = _with_roots(todo.drop("root", "leader_root"), components(links, work)).filter("root != leader_root")
-            todo = work.store(todo, "todo")
-            largest = todo.agg(F.max("n")).first()[0] or 0
-    return links
+    near_length = F.col("shingles").between(SIMILARITY * F.col("shortest"), F.col("longest") / SIMILARITY)
+    others = rooted.join(per_key, ["k", "key"]).filter(near_length)
+    parts = F.ceil(F.col("n_open") / TILE_OPEN).cast("int")
+    other_parts = F.ceil(F.col("n") / TILE_OTHERS).cast("int")
+    spread = F.xxhash64("row", "key")
+
+    def each(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    columns = ["k", "key", "row", "root", "is_open", "part", "other_part"]
+    is_open = F.col("root") != F.col("leader_root")
+    own = others.filter(is_open).withColumns(
+        {"is_open": F.lit(True), "part": F.pmod(spread, parts).cast("int"), "other_part": each(other_parts)}
+    )
+    met = others.withColumns(
+        {"is_open": F.lit(False), "part": each(parts), "other_part": F.pmod(spread, other_parts).cast("int")}
+    )
+    rows = own.select(columns).unionByName(met.select(columns))
+    return rows.join(_hashed_shingles(texts.join(rows.select("row").distinct(), "row", "left_semi")), "row")
+
+
+def _hashed_shingles(texts: DataFrame) -> DataFrame:
+    """row and its 5-grams in order, 32 bits of their hashes each."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", BATCH_CHARS):
+                hashes, counts = word_hashes([t.encode() for t in batch.column("text").to_pylist()])
+                shingles, _, per_text = windows_of(hashes, counts, SHINGLE_WORDS)
+                parts = np.split(shingles.astype(np.uint32), np.cumsum(per_text)[:-1])
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([p.tobytes() for p in parts])], ["row", "hashes"])
+
+    return texts.select("row", "text").mapInArrow(cut, "row long, hashes binary")
+
+
+def _shared_counts(shingles: list[np.ndarray]) -> np.ndarray:
+    """How many 5-grams, counted with repeats, every two of the documents share: no alignment matches more."""
+    text = np.repeat(np.arange(len(shingles)), [len(s) for s in shingles])
+    hashes = np.concatenate(shingles)
+    order = np.lexsort((hashes, text))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (text[order][1:] != text[order][:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    labelled = hashes[order].astype(np.uint64) << np.uint64(32) | (np.arange(len(order)) - first).astype(np.uint64)
+    _, column, times = np.unique(labelled, return_inverse=True, return_counts=True)
+    useful = times > 1
+    number = np.cumsum(useful) - 1
+    row, column = text[order][useful[column]], number[column[useful[column]]]
+    shared, width = np.zeros((len(shingles), len(shingles)), dtype=np.float32), 2_048
+    by_column = np.argsort(column, kind="stable")
+    row, column = row[by_column], column[by_column]
+    for start in range(0, int(useful.sum()), width):
+        low, high = np.searchsorted(column, [start, start + width])
+        held = np.zeros((len(shingles), width), dtype=np.float32)
+        held[row[low:high], column[low:high] - start] = 1
+        shared += held @ held.T
+    return shared
+
+
+def _forest(tile: pa.Table) -> pa.Table:
+    """Links of a tile between unsettled and other documents, none that its earlier links make needless."""
+    rows, first, at = np.unique(tile.column("row").to_numpy(), return_index=True, return_inverse=True)
+    is_open = tile.column("is_open").to_numpy()
+    open_rows, other_rows = np.zeros(len(rows), dtype=bool), np.zeros(len(rows), dtype=bool)
+    open_rows[at[is_open]] = True
+    other_rows[at[~is_open]] = True
+    root = tile.column("root").to_numpy()[first]
+    shingles = [np.frombuffer(tile.column("hashes")[int(i)].as_py(), dtype=np.uint32) for i in first]
+    sizes = np.array([len(s) for s in shingles])
+    total = sizes[:, None] + sizes[None, :]
+    enough = _shared_counts(shingles) >= SIMILARITY * total / (1 + SIMILARITY) - 1e-3
+    wanted = enough & (root[:, None] != root[None, :]) & open_rows[:, None] & other_rows[None, :]
+    group, found = {}, []
+
+    def root_of(x: int) -> int:
+        while group.get(x, x) != x:
+            x = group[x]
+        return x
+
+    for i, j in np.argwhere(wanted).tolist():
+        a, b = root_of(root[i]), root_of(root[j])
+        if a != b and similar(shingles[i].tolist(), shingles[j].tolist()):
+            group[a] = b
+            found.append((min(rows[i], rows[j]), max(rows[i], rows[j])))
+    a, b = zip(*found, strict=True) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
