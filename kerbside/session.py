@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "kerbside", master: str | None = None, **conf: str) -> SparkSession:
@@ -71,10 +72,16 @@ class Workspace:
         """Write the frame and read it back.
 
         Ends recomputation for frames used more than once, survives executor
-        loss, and later reads prune its columns.
+        loss, and later reads prune its columns. What the write shuffled is
+        removed with its end: the table stands in for it.
         """
         path = self.path(name)
-        df.write.options(**options).parquet(path)
+        before = self.spark.conf.get(_SHUFFLE_CLEANUP)
+        self.spark.conf.set(_SHUFFLE_CLEANUP, "true")
+        try:
+            df.write.options(**options).parquet(path)
+        finally:
+            self.spark.conf.set(_SHUFFLE_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
