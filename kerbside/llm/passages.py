@@ -21,6 +21,7 @@ and shards follows the input, so their sizes do not.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -42,8 +43,8 @@ SHARD_BYTES = 6 << 20
 # Null ids count as smaller than all others.
 NULL_ID = -(2**63)
 
-BLOCK_SCHEMA = "block long, ids binary, lengths binary, anchors long, data binary"
-PIECE_SCHEMA = "block long, slot int, key long, anchor int, content binary, least_id long, most_id long"
+BLOCK_SCHEMA = "block long, ids binary, lengths binary, bytes long, data binary"
+PIECE_SCHEMA = "block long, shard long, payload binary"
 
 
 @dataclass(frozen=True)
@@ -66,11 +67,13 @@ class Kind:
 
     ``cut`` gives (anchor hash at every unit, units per text); ``contents`` the
     bytes of pieces. ``across`` asks for two documents, else two places suffice.
+    ``per_byte`` is about how many anchors a byte of text gives.
     """
 
     window: int
     anchor: int
     across: bool
+    per_byte: float
     cut: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
     contents: Callable[[list[bytes], np.ndarray, np.ndarray], pa.Array]
 
@@ -135,7 +138,7 @@ def _byte_contents(texts: list[bytes], starts: np.ndarray, lengths: np.ndarray)
     return binary_runs(np.frombuffer(b"".join(texts), dtype=np.uint8), starts, lengths)
 
 
-BYTES = Kind(50, 32, True, _cut_bytes, _byte_contents)
+BYTES = Kind(50, 32, True, 0.1, _cut_bytes, _byte_contents)
 
 # Words
 
@@ -158,7 +161,7 @@ def _word_contents(texts: list[bytes], starts: np.ndarray, lengths: np.ndarray)
     return binary_runs(joined, begins, ends[starts + lengths - 1] - 1 - begins)
 
 
-WORDS = Kind(20, WORD_ANCHOR, False, _cut_words, _word_contents)
+WORDS = Kind(20, WORD_ANCHOR, False, 0.025, _cut_words, _word_contents)
 
 
 # Blocks
@@ -169,7 +172,7 @@ def packed(values: np.ndarray) -> bytes:
 
 
 def store_blocks(docs: DataFrame, work: Workspace, kind: Kind, id_col: str, text_col: str) -> DataFrame:
-    """Blocks of whole documents: ids, byte lengths, compressed bytes, and how many anchors they hold."""
+    """Blocks of whole documents: ids, byte lengths, and compressed bytes."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +182,8 @@ def store_blocks(docs: DataFrame, work: Workspace, kind: Kind, id_col: str, text
                 ids = batch.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
                 texts = [t.encode() for t in batch.column("text").to_pylist()]
                 lengths = np.array([len(t) for t in texts], dtype=np.int64)
-                row = [block, packed(ids), packed(lengths), len(kind.pieces(texts).key), compressor.compress(b"".join(texts))]
-                yield pa.RecordBatch.from_pylist([dict(zip(("block", "ids", "lengths", "anchors", "data"), row, strict=True))])
+                row = [block, packed(ids), packed(lengths), int(lengths.sum()), compressor.compress(b"".join(texts))]
+                yield pa.RecordBatch.from_pylist([dict(zip(("block", "ids", "lengths", "bytes", "data"), row, strict=True))])
                 block += 1
 
     return work.store(rows.mapInArrow(write, BLOCK_SCHEMA), "blocks")
@@ -201,8 +204,7 @@ def _one_block(batch: pa.RecordBatch, i: int) -> pa.Table:
 
 def recurring_anchors(blocks: DataFrame, work: Workspace, kind: Kind) -> DataFrame:
     """block, bucket and the low halves of the block's anchor hashes that recur."""
-    total = blocks.agg(F.sum("anchors")).first()[0] or 0
-    buckets = np.uint64(max(1, -(-total // BUCKET_ANCHORS)))
+    buckets = np.uint64(_parts(blocks, kind.per_byte / BUCKET_ANCHORS))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,6 +255,11 @@ def recurring_anchors(blocks: DataFrame, work: Workspace, kind: Kind) -> DataFra
     return work.store(sent.groupBy("bucket").applyInArrow(recur, "block long, bucket long, hashes binary"), "anchors")
 
 
+def _parts(blocks: DataFrame, per_byte: float) -> int:
+    """How many buckets or shards the text needs, from its bytes alone."""
+    return max(1, math.ceil((blocks.agg(F.sum("bytes")).first()[0] or 0) * per_byte))
+
+
 def bucket_of(key: np.ndarray, buckets: np.uint64) -> np.ndarray:
     return ((key >> np.uint64(32)) % buckets).astype(np.int64)
 
@@ -261,18 +268,35 @@ def low_half(key: np.ndarray) -> np.ndarray:
     return key.astype(np.uint32)
 
 
+_COLUMNS = (("slot", np.int32), ("anchor", np.int32), ("size", np.int32), ("key", np.uint64), ("least", np.int64), ("most", np.int64))
+
+
+def packed_pieces(columns: dict[str, np.ndarray], content: np.ndarray) -> bytes:
+    parts = [packed(columns[name].astype(dtype)) for name, dtype in _COLUMNS]
+    head = np.array([len(columns["slot"])], dtype=np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *parts, packed(content)]))
+
+
+def unpacked_pieces(payload: bytes) -> tuple[dict[str, np.ndarray], bytes]:
+    data, at, columns = zstandard.ZstdDecompressor().decompress(payload), 8, {}
+    n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
+    for name, dtype in _COLUMNS:
+        columns[name] = np.frombuffer(data, dtype=dtype, count=n, offset=at)
+        at += columns[name].nbytes
+    return columns, data[at:]
+
+
 def cut_pieces(blocks: DataFrame, anchors: DataFrame, work: Workspace, kind: Kind) -> DataFrame:
-    """The folded pieces of each block, and in slot -1 where the block holds them.
+    """The folded pieces of each block, packed by shard, and in shard -1 where the block holds them.
 
-    That row's content is (slot, text, first window in the text, windows) of every
-    place, as int32 columns one after the other.
+    That row's payload is (slot, text, first window in the text, windows) of every
+    place, as int32 columns one after the other. Pieces are about as many bytes
+    as the text at most where a sixth of its windows recur, so shards follow the
+    bytes of the text.
     """
-    total = blocks.agg(F.sum("anchors")).first()[0] or 0
-    buckets = np.uint64(max(1, -(-total // BUCKET_ANCHORS)))
-    schema = pa.schema(
-        [("block", pa.int64()), ("slot", pa.int32()), ("key", pa.int64()), ("anchor", pa.int32()),
-         ("content", pa.binary()), ("least_id", pa.int64()), ("most_id", pa.int64())]
-    )
+    buckets = np.uint64(_parts(blocks, kind.per_byte / BUCKET_ANCHORS))
+    shards = np.uint64(_parts(blocks, 1 / SHARD_BYTES))
+    schema = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("payload", pa.binary())])
 
     def cut(block: pa.Table, found: pa.Table) -> pa.Table:
         if not block.num_rows or not found.num_rows:
@@ -290,24 +314,35 @@ def cut_pieces(blocks: DataFrame, anchors: DataFrame, work: Workspace, kind: Kin
         order = np.argsort(slot, kind="stable")
         first = np.flatnonzero(np.diff(slot[order], prepend=-1))
         of_doc = ids[pieces.text][order]
-        least, most = np.minimum.reduceat(of_doc, first), np.maximum.reduceat(of_doc, first)
         lead = order[first]
-        number = block.column("block")[0].as_py()
-        n = len(first)
-        folded = pa.Table.from_arrays(
-            [pa.array(np.full(n, number)), pa.array(np.arange(n, dtype=np.int32)), pa.array(pieces.key[lead].view(np.int64)),
-             pa.array(pieces.anchor[lead].astype(np.int32)), contents.dictionary, pa.array(least), pa.array(most)],
-            schema=schema,
-        )
+        data, offsets = flat(contents.dictionary)
+        columns = {
+            "slot": np.arange(len(first)), "anchor": pieces.anchor[lead], "size": np.diff(offsets), "key": pieces.key[lead],
+            "least": np.minimum.reduceat(of_doc, first), "most": np.maximum.reduceat(of_doc, first),
+        }
+        shard = (mix(columns["key"]) % shards).astype(np.int64)
+        by_shard = np.argsort(shard, kind="stable")
+        edges = np.flatnonzero(np.diff(shard[by_shard])) + 1
         text_start = np.cumsum(kind.cut(texts)[1]) - kind.cut(texts)[1]
         places = np.stack([slot, pieces.text, pieces.start - text_start[pieces.text], pieces.windows]).astype(np.int32)
-        where = {"block": number, "slot": -1, "key": 0, "anchor": 0, "content": packed(places), "least_id": 0, "most_id": 0}
-        return pa.concat_tables([folded, pa.Table.from_pylist([where], schema)])
+        number = block.column("block")[0].as_py()
+        rows = [{"block": number, "shard": -1, "payload": zstandard.ZstdCompressor(level=1).compress(packed(places))}]
+        for part in np.split(by_shard, edges):
+            chosen = {name: values[part] for name, values in columns.items()}
+            content = data[ragged(offsets[part], chosen["size"])]
+            rows.append({"block": number, "shard": int(shard[part[0]]), "payload": packed_pieces(chosen, content)})
+        return pa.Table.from_pylist(rows, schema)
 
     cogrouped = blocks.groupBy("block").cogroup(anchors.groupBy("block"))
     return work.store(cogrouped.applyInArrow(cut, PIECE_SCHEMA), "pieces")
 
 
+def flat(content: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values, where each starts and the end)."""
+    offsets = np.frombuffer(content.buffers()[1], dtype=np.int32)[content.offset : content.offset + len(content) + 1]
+    return np.frombuffer(content.buffers()[2], dtype=np.uint8), offsets.astype(np.int64)
+
+
 @dataclass(frozen=True)
 class Variants:
     """The different pieces of a shard and the smallest id that holds each."""
@@ -326,26 +361,21 @@ def owners(pieces: DataFrame, work: Workspace, settle: Callable[[Variants], tupl
     whose owner is smaller than an id of the block that holds the piece, or, with
     ``keep_own``, not larger.
     """
-    cut = pieces.filter("slot >= 0")
-    size = cut.agg(F.sum(F.length("content"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
     schema = pa.schema([("block", pa.int64()), ("runs", pa.binary())])
 
     def shard(table: pa.Table) -> pa.Table:
-        coded = table.column("content").combine_chunks().dictionary_encode()
-        if isinstance(coded, pa.ChunkedArray):
-            coded = coded.combine_chunks()
+        unpacked = [unpacked_pieces(p.as_py()) for p in table.column("payload")]
+        held = {name: np.concatenate([columns[name] for columns, _ in unpacked]) for name, _ in _COLUMNS}
+        blocks_of = np.repeat(table.column("block").to_numpy(), [len(columns["slot"]) for columns, _ in unpacked])
+        offsets = np.concatenate([[0], np.cumsum(held["size"])]).astype(np.int32)
+        content = pa.py_buffer(b"".join(data for _, data in unpacked))
+        coded = pa.Array.from_buffers(pa.binary(), len(held["slot"]), [None, pa.py_buffer(offsets), content]).dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False)
         order = np.argsort(code, kind="stable")
         first = np.flatnonzero(np.diff(code[order], prepend=-1))
         lead = order[first]
-        least = table.column("least_id").to_numpy()
-        variants = Variants(
-            table.column("key").to_numpy()[lead].view(np.uint64),
-            table.column("anchor").to_numpy()[lead],
-            coded.dictionary,
-            np.minimum.reduceat(least[order], first),
-        )
+        owner = np.minimum.reduceat(held["least"][order], first)
+        variants = Variants(held["key"][lead], held["anchor"][lead], coded.dictionary, owner)
         windows, owner = settle(variants)
         starts = np.cumsum(windows) - windows
         variant = np.repeat(np.arange(len(windows)), windows)
@@ -359,20 +389,19 @@ def owners(pieces: DataFrame, work: Workspace, settle: Callable[[Variants], tupl
         run_start = np.cumsum(runs_of) - runs_of
         row = np.repeat(np.arange(len(code)), runs_of[code])
         at = ragged(run_start[code], runs_of[code])
-        most = table.column("most_id").to_numpy()[row]
+        most = held["most"][row]
         wanted = (run_owner[at] <= most) if keep_own else (run_owner[at] < most)
         row, at = row[wanted], at[wanted]
-        block, slot = table.column("block").to_numpy()[row], table.column("slot").to_numpy()[row]
+        block, slot = blocks_of[row], held["slot"][row]
         by_block = np.argsort(block, kind="stable")
         columns = np.stack([slot, run_from[at], run_end[at], run_owner[at]]).astype(np.int64)[:, by_block]
         edges = np.flatnonzero(np.diff(block[by_block])) + 1 if len(by_block) else []
         numbers = block[by_block]
-        parts = np.split(np.arange(len(numbers)), edges)
-        rows = [{"block": int(numbers[p[0]]), "runs": packed(columns[:, p])} for p in parts if len(p)]
+        parts, compress = np.split(np.arange(len(numbers)), edges), zstandard.ZstdCompressor(level=1).compress
+        rows = [{"block": int(numbers[p[0]]), "runs": compress(packed(columns[:, p]))} for p in parts if len(p)]
         return pa.Table.from_pylist(rows, schema)
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    return work.store(dealt.groupBy("shard").applyInArrow(shard, "block long, runs binary"), "owners")
+    return work.store(pieces.filter("shard >= 0").groupBy("shard").applyInArrow(shard, "block long, runs binary"), "owners")
 
 
 def apply_owners(
@@ -391,12 +420,13 @@ def apply_owners(
     def apply(block: pa.Table, told: pa.Table) -> pa.Table:
         ids, texts = read_block(block)
         nothing = np.zeros(0, dtype=np.int64)
+        unpack = zstandard.ZstdDecompressor()
         places, runs = np.zeros((4, 0), dtype=np.int32), [np.zeros((4, 0), dtype=np.int64)]
         for content, run in zip(told.column("places"), told.column("runs"), strict=True):
             if content.is_valid:
-                places = np.frombuffer(content.as_py(), dtype=np.int32).reshape(4, -1)
+                places = np.frombuffer(unpack.decompress(content.as_py()), dtype=np.int32).reshape(4, -1)
             if run.is_valid:
-                runs.append(np.frombuffer(run.as_py(), dtype=np.int64).reshape(4, -1))
+                runs.append(np.frombuffer(unpack.decompress(run.as_py()), dtype=np.int64).reshape(4, -1))
         if not places.shape[1]:
             return finish(ids, texts, (nothing,) * 4)
         slot, run_from, run_end, owner = np.concatenate(runs, axis=1)
@@ -407,6 +437,6 @@ def apply_owners(
         first = places[2][place]
         return finish(ids, texts, (places[1][place].astype(np.int64), first + run_from[at], first + run_end[at], owner[at]))
 
-    told = pieces.filter("slot = -1").select("block", F.col("content").alias("places"), F.lit(None).cast("binary").alias("runs"))
+    told = pieces.filter("shard = -1").select("block", F.col("payload").alias("places"), F.lit(None).cast("binary").alias("runs"))
     told = told.unionByName(owned.select("block", F.lit(None).cast("binary").alias("places"), "runs"))
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(apply, schema)

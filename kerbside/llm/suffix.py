@@ -142,7 +142,7 @@ def settle(variants: Variants) -> tuple[np.ndarray, np.ndarray]:
     An anchor's bytes are one symbol of their own, as every window of a piece
     holds all of them; the bytes before and after are a symbol each.
     """
-    data, offsets = _flat(variants.content)
+    data, offsets = passages.flat(variants.content)
     begins, sizes = offsets[:-1], np.diff(offsets)
     windows = sizes - BYTES.window + 1
     owner = np.repeat(variants.owner, windows)
@@ -174,11 +174,6 @@ def settle(variants: Variants) -> tuple[np.ndarray, np.ndarray]:
     return windows, owner
 
 
-def _flat(content: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    offsets = np.frombuffer(content.buffers()[1], dtype=np.int32)[content.offset : content.offset + len(content) + 1]
-    return np.frombuffer(content.buffers()[2], dtype=np.uint8), offsets.astype(np.int64)
-
-
 def spans(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """The maximal runs that the intervals cover; touching intervals are one run."""
     order = np.argsort(starts, kind="stable")
