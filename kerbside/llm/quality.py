@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import SPACES, WORD, fresh_name, text_or_empty
+from kerbside.llm.common import SPACES, fresh_name, text_or_empty
 
 # Rows of the sample on which costs and rejections are measured.
 SAMPLE_ROWS = 2_000

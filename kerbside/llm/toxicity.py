@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm.common import text_or_empty
 from kerbside.llm.tokens import slices
-from kerbside.llm.wordhash import mix, word_hashes
+from kerbside.llm.wordhash import word_hashes
 from kerbside.session import Workspace
 
 # Words count as far above the median from here on, and as no farther than this.
