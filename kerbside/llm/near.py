@@ -28,29 +28,42 @@ from kerbside.session import Workspace
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# Keys per document and 5-grams per key: at similarity 0.8 a pair misses every key seven times in a million, at
-# 0.3 it meets in one with a chance of 7 %.
+# Keys per document and 5-grams per key: at similarity 0.8 a pair of long texts misses every key seven times in a
+# million, at 0.3 it meets in one with a chance of 7 %. The fewer 5-grams, the more often a pair is missed: 25 and 20
+# in 20 of them five times in 100,000, 5 and 4 in 4 always.
 KEYS = 30
 PER_KEY = 5
+# Texts of at most so many 5-grams also meet on their rarest single ones, which misses no pair; a shorter text than
+# 0.8 times this meets all that reach 0.8 that way.
+SHORT_SHINGLES = 50
 # Documents of a key that one task compares: so many unsettled ones with so many others.
 TILE_OPEN, TILE_OTHERS = 256, 512
 BATCH_CHARS = 2_000_000
 
-SKETCH_SCHEMA = "row long, id long, digest binary, shingles long, keys array<long>"
+SKETCH_SCHEMA = "row long, id long, digest binary, shingles long, keys array<long>, single array<long>"
 
 
-def order_min_hashes(hashes: np.ndarray, counts: np.ndarray, keys: int = KEYS, per_key: int = PER_KEY) -> np.ndarray:
-    """``keys`` sketch keys for each text with shingles; ``counts`` has no zeros."""
+def occurrence_labelled(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A hash of each shingle and how many equal ones its text has before it; ``counts`` are shingles per text."""
+    if not len(hashes):
+        return hashes
     text = np.repeat(np.arange(len(counts)), counts)
-    starts = np.cumsum(counts) - counts
     order = np.lexsort((hashes, text))
     new = np.concatenate([[True], (hashes[order][1:] != hashes[order][:-1]) | (text[order][1:] != text[order][:-1])])
     first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     occurrence = np.empty(len(order), dtype=np.uint64)
     occurrence[order] = (np.arange(len(order)) - first).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return mix(hashes + occurrence * np.uint64(0xA24BAED4963EE407))
+
+
+def order_min_hashes(hashes: np.ndarray, counts: np.ndarray, keys: int = KEYS, per_key: int = PER_KEY) -> np.ndarray:
+    """``keys`` sketch keys for each text with shingles; ``counts`` has no zeros."""
+    text = np.repeat(np.arange(len(counts)), counts)
+    starts = np.cumsum(counts) - counts
+    labelled = occurrence_labelled(hashes, counts)
     found = np.zeros((len(counts), keys), dtype=np.int64)
     with np.errstate(over="ignore"):
-        labelled = mix(hashes + occurrence * np.uint64(0xA24BAED4963EE407))
         for k in range(keys):
             drawn = (labelled ^ np.uint64(0xC2B2AE3D27D4EB4F * (k + 1) % 2**64)) * np.uint64(0x9FB21C651E98DF25)
             drawn ^= drawn >> np.uint64(28)
@@ -71,10 +84,11 @@ def order_min_hashes(hashes: np.ndarray, counts: np.ndarray, keys: int = KEYS, p
 
 
 def sketches(rows: DataFrame) -> DataFrame:
-    """row, id, digest of the word sequence, number of 5-grams and sketch keys, from row, id and text.
+    """row, id, digest of the word sequence, number of 5-grams, sketch keys and single shingles, from row, id and text.
 
     Texts with fewer than five words have one shingle, all their words; texts
-    without words have none and no keys.
+    without words have none and no keys. Single shingles, labelled with their
+    occurrence, are listed for short texts only.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,11 +105,16 @@ def sketches(rows: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(keys.reshape(-1))
                 )
+                short = per_text <= SHORT_SHINGLES
+                labelled = occurrence_labelled(shingles[np.repeat(short, per_text)], per_text[short]).view(np.int64)
+                singles = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(per_text * short)]), pa.int32()), pa.array(labelled)
+                )
                 digests = [hashlib.sha256(b" ".join(t.split())).digest() for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("row"), batch.column("id"), pa.array(digests, pa.binary()),
-                     pa.array(per_text, pa.int64()), lists],
-                    ["row", "id", "digest", "shingles", "keys"],
+                     pa.array(per_text, pa.int64()), lists, singles],
+                    ["row", "id", "digest", "shingles", "keys", "single"],
                 )
 
     return rows.mapInArrow(sketch, SKETCH_SCHEMA)
@@ -179,6 +198,24 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(align, "a long, b long, linked boolean")
 
 
+def rare_singles(sketched: DataFrame) -> DataFrame:
+    """row, shingles, k and key: short texts' rarest shingles, as many as no similar text can do without.
+
+    A text of n shingles that reaches the similarity shares at least 0.8 n of
+    them, so two such texts share one of their first n - ceil(0.8 n) + 1 in any
+    order that is the same for all texts. The rarest come first, which keeps
+    stock phrases from being keys. Different texts of up to three shingles reach
+    the similarity with no other.
+    """
+    short = sketched.filter(F.col("shingles").between(4, SHORT_SHINGLES))
+    singles = short.select("row", "shingles", F.explode("single").alias("key"))
+    ranked = singles.join(singles.groupBy("key").agg(F.count("*").alias("times")), "key")
+    first = F.col("shingles") - F.ceil(SIMILARITY * F.col("shingles") - 1e-9) + 1
+    rarest = F.slice(F.sort_array(F.collect_list(F.struct("times", "key"))), 1, first.cast("int"))
+    chosen = ranked.groupBy("row", "shingles").agg(rarest.alias("rarest"))
+    return chosen.select("row", "shingles", F.lit(KEYS).alias("k"), F.explode("rarest.key").alias("key"))
+
+
 def key_members(sketched: DataFrame, work: Workspace) -> DataFrame:
     """k, key, row, shingles, n and leader of every row that shares a key with others.
 
@@ -186,6 +223,7 @@ def key_members(sketched: DataFrame, work: Workspace) -> DataFrame:
     copies of a text that is the text itself, which all of them resemble most.
     """
     entries = sketched.select("row", "shingles", F.posexplode("keys").alias("k", "key"))
+    entries = entries.unionByName(rare_singles(sketched))
     shared = entries.groupBy("k", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = work.store(entries.join(shared, ["k", "key"]), "met")
     known = met.groupBy("row").agg(F.sum("n").alias("known"))

@@ -110,3 +110,14 @@ def test_drop_near_copies_keeps_columns(spark, work):
     classes, _, _ = near.near_classes(docs, work)
     assert kept.count() == classes.select("class_row").distinct().count() == classes.filter("kept").count()
     assert near.drop_near_copies(no_docs(spark), work).count() == 0
+
+
+def test_short_texts_meet_their_near_copies(spark, work):
+    """Texts with so few 5-grams that no key of five can be equal, or that keys miss now and then."""
+    rows = []
+    for i, n in enumerate([*range(8, 30), *[9] * 20, 40, 53]):
+        words = [f"w{i}x{j}" for j in range(n)]
+        rows += [(4 * i, " ".join(words)), (4 * i + 1, " ".join([*words, "more"])), (4 * i + 2, " ".join(["more", *words]))]
+    rows += [(900 + i, f"same stock phrase of many short texts {prose(i, 2)} {i}") for i in range(60)]
+    classes, _, _ = near.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), work)
+    assert sorted(((r.id, r.class_id, r.class_size) for r in classes.collect()), key=repr) == classes_by_hand(rows)
