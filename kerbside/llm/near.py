@@ -284,14 +284,14 @@ def _tiles(rooted: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _hashed_shingles(texts: DataFrame) -> DataFrame:
-    """row and its 5-grams in order, 32 bits of their hashes each."""
+    """row and its 5-grams in order, as hashes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", BATCH_CHARS):
                 hashes, counts = word_hashes([t.encode() for t in batch.column("text").to_pylist()])
                 shingles, _, per_text = windows_of(hashes, counts, SHINGLE_WORDS)
-                parts = np.split(shingles.astype(np.uint32), np.cumsum(per_text)[:-1])
+                parts = np.split(shingles, np.cumsum(per_text)[:-1])
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([p.tobytes() for p in parts])], ["row", "hashes"])
 
     return texts.select("row", "text").mapInArrow(cut, "row long, hashes binary")
@@ -299,17 +299,13 @@ def _hashed_shingles(texts: DataFrame) -> DataFrame:
 
 def _shared_counts(shingles: list[np.ndarray]) -> np.ndarray:
     """How many 5-grams, counted with repeats, every two of the documents share: no alignment matches more."""
-    text = np.repeat(np.arange(len(shingles)), [len(s) for s in shingles])
-    hashes = np.concatenate(shingles)
-    order = np.lexsort((hashes, text))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (text[order][1:] != text[order][:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    labelled = hashes[order].astype(np.uint64) << np.uint64(32) | (np.arange(len(order)) - first).astype(np.uint64)
+    sizes = np.array([len(s) for s in shingles])
+    text = np.repeat(np.arange(len(shingles)), sizes)
+    labelled = occurrence_labelled(np.concatenate(shingles), sizes)
     _, column, times = np.unique(labelled, return_inverse=True, return_counts=True)
     useful = times > 1
     number = np.cumsum(useful) - 1
-    row, column = text[order][useful[column]], number[column[useful[column]]]
+    row, column = text[useful[column]], number[column[useful[column]]]
     shared, width = np.zeros((len(shingles), len(shingles)), dtype=np.float32), 2_048
     by_column = np.argsort(column, kind="stable")
     row, column = row[by_column], column[by_column]
@@ -329,7 +325,7 @@ def _forest(tile: pa.Table) -> pa.Table:
     open_rows[at[is_open]] = True
     other_rows[at[~is_open]] = True
     root = tile.column("root").to_numpy()[first]
-    shingles = [np.frombuffer(tile.column("hashes")[int(i)].as_py(), dtype=np.uint32) for i in first]
+    shingles = [np.frombuffer(tile.column("hashes")[int(i)].as_py(), dtype=np.uint64) for i in first]
     sizes = np.array([len(s) for s in shingles])
     total = sizes[:, None] + sizes[None, :]
     enough = _shared_counts(shingles) >= SIMILARITY * total / (1 + SIMILARITY) - 1e-3

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from kerbside.llm import near
@@ -121,3 +122,10 @@ def test_short_texts_meet_their_near_copies(spark, work):
     rows += [(900 + i, f"same stock phrase of many short texts {prose(i, 2)} {i}") for i in range(60)]
     classes, _, _ = near.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), work)
     assert sorted(((r.id, r.class_id, r.class_size) for r in classes.collect()), key=repr) == classes_by_hand(rows)
+
+
+def test_tiles_tell_all_shingles_apart(spark):
+    """Among 300,000 5-grams some agree in 32 bits of their hashes."""
+    text = " ".join(f"w{i}" for i in range(300_000))
+    row = near._hashed_shingles(spark.createDataFrame([(1, text)], "row long, text string")).first()
+    assert len(set(np.frombuffer(row.hashes, dtype=np.uint64).tolist())) == 299_996
