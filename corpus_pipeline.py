@@ -36,7 +36,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and the sequence that holds each."""
-    pieces = packing.token_pieces(docs, TOKENIZER, keep_ids=False).drop("ids")
+    pieces = packing.token_pieces(docs, TOKENIZER, keep_ids=False, literal=False).drop("ids")
     packed = packing.pack(pieces, Workspace(spark, "pipeline-packing"))
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

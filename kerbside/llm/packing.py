@@ -44,17 +44,18 @@ def token_pieces(
     keep_ids: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
+    literal: bool = True,
 ) -> DataFrame:
     """id, piece, start, length, ids_crc32 and, if asked for, the ids (uint32, little-endian) of every piece.
 
     A null or empty text is one piece that holds the end id. Repeated rows have
-    pieces of their own.
+    pieces of their own. ``literal`` is that of ``TextEncoder``.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        encode_texts = encoder(tokenizer_path)
+        encode_texts = encoder(tokenizer_path, literal)
         for whole in batches:
             for batch in slices(whole, "text"):
                 ids, counts = encode_texts.encode_batch(batch.column("text").to_pylist())

@@ -48,7 +48,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.token_pieces(documents(spark, sf_dir), TOKENIZER, keep_ids=False).drop("ids")
+    pieces = packing.token_pieces(documents(spark, sf_dir), TOKENIZER, keep_ids=False, literal=False).drop("ids")
     packed = packing.pack(pieces, Workspace(spark, "packing"))
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
@@ -67,7 +67,7 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "records")
     path = work.path("files")
-    records.write_records(documents(spark, sf_dir), path, TOKENIZER)
+    records.write_records(documents(spark, sf_dir), path, TOKENIZER, literal=False)
     index = records.with_starts(records.build_index(spark, path, work))
     return index.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 

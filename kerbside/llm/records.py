@@ -92,13 +92,15 @@ def write_records(
     file_bytes: int = FILE_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    literal: bool = True,
 ) -> None:
     """Encode whole texts, append the end id, and write them in ascending order of ids, nulls first.
 
     A null text is empty. Repeated ids are records of their own, in the order of
     their texts. An empty table gives no file, or an empty one. Texts are dealt
     by ranges of (id, hash of the text) before they are encoded, so each is
-    encoded once, and a task holds one batch of texts.
+    encoded once, and a task holds one batch of texts. ``literal`` is that of
+    ``TextEncoder``.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -107,7 +109,7 @@ def write_records(
     dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts = encoder(tokenizer_path)
+        encode_texts = encoder(tokenizer_path, literal)
         width = 2 if encode_texts.vocabulary_size <= 1 << 16 else 4
         for whole in batches:
             for batch in slices(whole, "text"):

@@ -3,8 +3,8 @@
 Text is long and its words recur, so a worker remembers the ids of words it has
 met. Cutting before a space or line break that stands alone between other
 characters cannot change the ids of a byte-level vocabulary: its pattern never
-joins characters across such a place. Texts with any other white space are
-encoded in one piece.
+joins characters across such a place. Texts with any other white space, or with
+the content of a token that the vocabulary adds, are encoded in one piece.
 """
 
 from __future__ import annotations
@@ -48,14 +48,19 @@ def _cuttable(text: str, cuts: int) -> bool:
 
 
 class TextEncoder:
-    """Encodes batches of texts; ids are those of encode(text, add_special_tokens=False)."""
+    """Encodes batches of texts; ids are those of encode(text, add_special_tokens=False).
 
-    def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED) -> None:
+    With ``literal`` a special token's content in a text is ordinary text; without,
+    it gets the token's id, as from the file as it is.
+    """
+
+    def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED, literal: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.vocabulary_size = self.tokenizer.get_vocab_size()
         self.remembered = remembered
         lengths = np.zeros(self.vocabulary_size, dtype=np.int64)
@@ -114,7 +119,7 @@ class TextEncoder:
         whole: list[int] = []
         for i, text in enumerate(texts):
             cuts = text.count(" ") + text.count("\n")
-            if _cuttable(text, cuts):
+            if _cuttable(text, cuts) and not any(content in text for content in self.added):
                 words = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
                 numbers.extend(map(self.words.__getitem__, words))
                 per_text[i] = len(words)
@@ -139,14 +144,15 @@ class TextEncoder:
         return ids, counts
 
 
-_encoders: dict[str, TextEncoder] = {}
+_encoders: dict[tuple[str, bool], TextEncoder] = {}
 
 
-def encoder(tokenizer_path: str) -> TextEncoder:
-    """One per worker process, with what it remembers."""
-    if tokenizer_path not in _encoders:
-        _encoders[tokenizer_path] = TextEncoder(tokenizer_path)
-    return _encoders[tokenizer_path]
+def encoder(tokenizer_path: str, literal: bool = True) -> TextEncoder:
+    """One per worker process and way, with what it remembers."""
+    key = tokenizer_path, literal
+    if key not in _encoders:
+        _encoders[key] = TextEncoder(tokenizer_path, literal=literal)
+    return _encoders[key]
 
 
 def slices(batch: pa.RecordBatch, column: str, most_chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:

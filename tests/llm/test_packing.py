@@ -8,7 +8,8 @@ from hypothesis import settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from kerbside.llm import packing, records
+import corpus_pipeline
+from kerbside.llm import packing, queries, records
 from kerbside.llm.tokens import END_ID, TextEncoder
 from kerbside.session import Workspace
 from tests.llm.edge import edge_docs, edge_rows, given, no_docs
@@ -148,3 +149,17 @@ def test_whole_given_table(spark, work, whole):
     rows, n = check_packed(packing.pack(packing.token_pieces(docs, PATH, keep_ids=False), work), packing.CAPACITY)
     assert all(zlib.crc32(want[r.id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in rows)
     assert n <= 1.02 * sum(map(len, want.values())) / packing.CAPACITY
+
+
+def test_queries_give_the_ids_of_the_file_as_it_is(spark, tmp_path):
+    texts = ["a b <|endoftext|> c", "one <|endoftext|>two", "plain words", "x<|endoftext|>", "  <|endoftext|>  <|endoftext|>"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(PATH)
+    own = [[*tokenizer.encode(text, add_special_tokens=False).ids, END_ID] for text in texts]
+    assert own[0] == [64, 275, 220, 50256, 269, END_ID]
+    want = [(i, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for i, ids in enumerate(own)]
+    docs = queries.documents(spark, str(tmp_path))
+    for packed in (queries.op4_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, docs, "")):
+        assert sorted((r.doc_id, r.length, r.ids_crc32) for r in packed.collect()) == want
+    index = queries.op6_token_records(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in index) == want
