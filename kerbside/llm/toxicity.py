@@ -8,6 +8,11 @@ text says is the log ratio of the two likelihoods, per word. A text's language
 and subject shift all its words alike; its median word shows by how much, and
 words far above it are the evidence. A logistic curve fitted on other labelled
 documents turns mean, median and excess into a score.
+
+The counts are of all labelled rows and grow with them, so they stay a table. A
+word and its stems have the shortest stem in common: dealt by it, a shard holds
+all that its words back off to, and needs no more than the sizes of the whole
+model. Blocks of documents ask the shards for their words, each once.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +35,15 @@ from kerbside.session import Workspace
 
 # Words count as far above the median from here on, and as no farther than this.
 EXCESS_FROM, EXCESS_MOST = 2.0, 4.0
-# Labelled rows the models are fitted on, per class, and rows the curve is fitted on, over both.
-MODEL_ROWS = 4_000
+# Labelled rows that the curve's few weights are fitted on, over both classes.
 CURVE_ROWS = 6_000
 DISCOUNT = 0.75
 # Lengths of the stems a word backs off to.
 STEM_BYTES = (6, 5, 4)
 THRESHOLD = 0.3
 BATCH_CHARS = 2_000_000
+# Words of the model, and bytes of what blocks ask, that a shard holds.
+SHARD_WORDS, SHARD_BYTES = 200_000, 8 << 20
 _LOWER = bytes.maketrans(
     (string.ascii_uppercase + string.punctuation).encode(),
     (string.ascii_lowercase + " " * len(string.punctuation)).encode(),
@@ -58,7 +66,14 @@ class Words:
 
 
 def words_in(texts: list[str]) -> Words:
-    data = [t.encode().translate(_LOWER) for t in texts]
+    return _cut([lowered(t) for t in texts])
+
+
+def lowered(text: str) -> bytes:
+    return text.encode().translate(_LOWER)
+
+
+def _cut(data: list[bytes]) -> Words:
     word, per_text = word_hashes(data)
     stems = tuple(word_hashes(data, most_bytes=n)[0] for n in STEM_BYTES)
     before = np.concatenate([[_START], word[:-1]]) if len(word) else word
@@ -102,43 +117,63 @@ class Ratios:
             open_at = open_at[~there]
         return ratio
 
-    def evidence(self, texts: list[str]) -> np.ndarray:
-        """Mean ratio, median ratio and mean excess over the median of each text; zeros without words."""
-        found = words_in(texts)
-        ratio, n = self.of_words(found), found.per_text
-        text = np.repeat(np.arange(len(n)), n)
-        middle = np.zeros(len(n))
-        middle[n > 0] = ratio[np.lexsort((ratio, text))][(np.cumsum(n) - n + n // 2)[n > 0]]
-        excess = np.clip(ratio - middle[text] - EXCESS_FROM, 0, EXCESS_MOST)
-        sums = [np.bincount(text, x, len(n)) / np.maximum(n, 1) for x in (ratio, excess)]
-        return np.column_stack([sums[0], middle, sums[1]])
+
+def evidence(ratio: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Mean ratio, median ratio and mean excess over the median of texts with ``n`` words each; zeros without words."""
+    text = np.repeat(np.arange(len(n)), n)
+    middle = np.zeros(len(n))
+    middle[n > 0] = ratio[np.lexsort((ratio, text))][(np.cumsum(n) - n + n // 2)[n > 0]]
+    excess = np.clip(ratio - middle[text] - EXCESS_FROM, 0, EXCESS_MOST)
+    sums = [np.bincount(text, x, len(n)) / np.maximum(n, 1) for x in (ratio, excess)]
+    return np.column_stack([sums[0], middle, sums[1]])
 
 
 def _codes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_inverse=True)
 
 
-def kneser_ney_ratios(word: np.ndarray, stems: list[np.ndarray], counts: list[np.ndarray]) -> Ratios:
-    """From words, each once, their stems, and after how many words each class has seen them (toxic, ordinary).
-
-    A stem counts in how many different words, or longer stems, a class has seen it.
-    """
+def _levels(
+    word: np.ndarray, stems: list[np.ndarray], counts: list[np.ndarray]
+) -> tuple[list[np.ndarray], list[np.ndarray], list[list[np.ndarray]], np.ndarray]:
+    """(keys of each level, parents of each but the last, counts of each class and level, words below each shortest stem)."""
     level_keys, level_at = zip(*[_codes(k) for k in (word, *stems)], strict=True)
     parents = [_parents(level_at[i], level_at[i + 1], len(level_keys[i])) for i in range(len(stems))]
-    shared = np.bincount(level_at[-1], minlength=len(level_keys[-1])).astype(float)
-    shared /= shared.sum() + 1.0
     classes = []
     for count in counts:
         totals = [np.bincount(level_at[0], count, len(level_keys[0]))]
         for parent, keys in zip(parents, level_keys[1:], strict=True):
             totals.append(np.bincount(parent, (totals[-1] > 0).astype(float), len(keys)))
+        classes.append(totals)
+    return level_keys, parents, classes, np.bincount(level_at[-1], minlength=len(level_keys[-1])).astype(float)
+
+
+def model_sizes(word: np.ndarray, stems: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+    """Words, then sum and number of the counts of each class and level; those of shards add up."""
+    classes = _levels(word, stems, counts)[2]
+    return np.array([len(word), *[x for totals in classes for t in totals for x in (t.sum(), np.count_nonzero(t))]], dtype=float)
+
+
+def kneser_ney_ratios(
+    word: np.ndarray, stems: list[np.ndarray], counts: list[np.ndarray], sizes: np.ndarray | None = None
+) -> Ratios:
+    """From words, each once, their stems, and after how many words each class has seen them (toxic, ordinary).
+
+    A stem counts in how many different words, or longer stems, a class has seen
+    it. A part of the words, with all that share a shortest stem, needs the sizes
+    of the whole.
+    """
+    sizes = model_sizes(word, stems, counts) if sizes is None else sizes
+    level_keys, parents, totals_of, shared = _levels(word, stems, counts)
+    shared /= sizes[0] + 1.0
+    classes = []
+    for totals, size in zip(totals_of, sizes[1:].reshape(len(counts), -1, 2), strict=True):
         below, probabilities, passing = shared, [], []
         for level in reversed(range(len(totals))):
             if level < len(parents):
                 # Both classes split a stem among its expressions alike.
                 below = below[parents[level]] / np.bincount(parents[level])[parents[level]]
-            total = max(totals[level].sum(), 1.0)
-            rest = max(DISCOUNT * np.count_nonzero(totals[level]), 1.0) / total
+            total = max(size[level, 0], 1.0)
+            rest = max(DISCOUNT * size[level, 1], 1.0) / total
             below = np.maximum(totals[level] - DISCOUNT, 0) / total + rest * below
             probabilities.insert(0, below)
             passing.insert(0, rest)
@@ -185,67 +220,187 @@ def logistic_curve(evidence: np.ndarray, y: np.ndarray, steps: int = 100) -> Cur
     return curve
 
 
+_STEMS = [f"stem_{n}" for n in STEM_BYTES]
+_MODEL_COLUMNS = ["word", *_STEMS, "toxic", "ordinary"]
+
+
+@dataclass(frozen=True)
+class WordCounts:
+    """A stored table of words, stems and in how many contexts each class has seen the word; its sizes."""
+
+    words: DataFrame
+    sizes: np.ndarray
+    work: Workspace
+
+    def shards(self, n: int) -> DataFrame:
+        return self.words.withColumn("shard", F.pmod(F.col(_STEMS[-1]), F.lit(n)))
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    ratios: Ratios
+    counts: WordCounts
     curve: Curve
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        return self.curve(self.ratios.evidence(texts))
+        docs = self.counts.words.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        return np.array([r.score for r in sorted(scored(docs, self).collect(), key=lambda r: r.id)])
 
 
-def _drawn(labelled: DataFrame, rows: int, salt: str, work: Workspace) -> DataFrame:
-    """At most ``rows`` rows, those with the smallest hashes: spread over the table, the same in every run."""
-    return work.store(labelled.orderBy(F.xxhash64(F.lit(salt), "id"), "id").limit(rows), salt)
+def _arrays(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(words, stems, counts of the classes) of rows of the model."""
+    word, *stems, toxic, ordinary = [table.column(name).to_numpy() for name in _MODEL_COLUMNS]
+    return word.view(np.uint64), [x.view(np.uint64) for x in stems], [toxic, ordinary]
 
 
-def fit(labelled: DataFrame, work: Workspace, model_rows: int = MODEL_ROWS, curve_rows: int = CURVE_ROWS) -> ToxicityModel:
-    """From labelled rows (id, text, toxic).
-
-    The models see at most ``model_rows`` rows of each class, whole texts, and
-    the curve at most ``curve_rows`` rows that the models have not seen; these
-    bounds also bound the model that is sent to the tasks. A hash of the id sets
-    a fifth of the rows aside for the curve.
-    """
-    for_curve = F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(5)) == 0
-    curve = _drawn(labelled.filter(for_curve), curve_rows, "curve", work)
-    samples = [_drawn(labelled.filter(~for_curve & (F.col("toxic") == c)), model_rows, f"class-{c}", work) for c in (1, 0)]
-
-    names = ["before", "word", *[f"stem_{n}" for n in STEM_BYTES], "toxic", "ordinary"]
+def count_words(labelled: DataFrame, work: Workspace) -> WordCounts:
+    """Continuation counts of every word of the labelled rows (text, toxic), whole texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", BATCH_CHARS):
                 found = words_in(batch.column("text").to_pylist())
-                toxic = np.repeat(np.array(batch.column("toxic").to_pylist(), dtype=np.int64), found.per_text)
-                columns = [*[c.view(np.int64) for c in (found.before, found.word, *found.stems)], toxic, 1 - toxic]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-    counted = (
-        samples[0]
-        .unionByName(samples[1])
-        .mapInArrow(count, ", ".join(f"{name} long" for name in names))
-        .groupBy(*names[:-2])
-        .agg(F.max("toxic").alias("toxic"), F.max("ordinary").alias("ordinary"))
-        .groupBy(*names[1:-2])
-        .agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-        .toArrow()
+                if not len(found.word):
+                    continue
+                toxic = np.repeat(batch.column("toxic").to_numpy(zero_copy_only=False), found.per_text)
+                order = np.lexsort((found.before, found.word))
+                word, before, seen = found.word[order], found.before[order], np.where(toxic[order] == 1, 1, 2)
+                new_word = np.concatenate([[True], word[1:] != word[:-1]])
+                pair = np.flatnonzero(new_word | np.concatenate([[True], before[1:] != before[:-1]]))
+                # A row for each pair, then one for each word with its stems and no word before.
+                named = order[new_word]
+                only_pair = np.concatenate([np.zeros(len(pair), dtype=bool), np.ones(len(named), dtype=bool)])
+                columns = [
+                    pa.array(np.concatenate([word[pair], found.word[named]]).view(np.int64)),
+                    pa.array(np.concatenate([before[pair], found.word[named]]).view(np.int64), mask=only_pair),
+                    pa.array(np.concatenate([np.bitwise_or.reduceat(seen, pair), np.zeros(len(named), dtype=np.int64)])),
+                    *[pa.array(np.concatenate([word[pair], x[named]]).view(np.int64), mask=~only_pair) for x in found.stems],
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "before", "seen", *_STEMS])
+
+    schema = ", ".join(f"{name} long" for name in ("word", "before", "seen", *_STEMS))
+    stems = [F.max(name).alias(name) for name in _STEMS]
+    words = work.store(
+        labelled.select("text", F.col("toxic").cast("long").alias("toxic"))
+        .mapInArrow(count, schema)
+        .groupBy("word", "before")
+        .agg(F.bit_or("seen").alias("seen"), *stems)
+        .groupBy("word")
+        .agg(
+            *stems,
+            F.sum(F.col("seen").bitwiseAND(F.lit(1))).alias("toxic"),
+            F.sum(F.shiftright("seen", 1)).alias("ordinary"),
+        ),
+        "words",
     )
-    word, *stems, toxic, ordinary = [counted.column(name).to_numpy() for name in names[1:]]
-    ratios = kneser_ney_ratios(word.view(np.uint64), [s.view(np.uint64) for s in stems], [toxic, ordinary])
 
-    spark = labelled.sparkSession
-    sent = spark.sparkContext.broadcast(ratios)
+    def measure(table: pa.Table) -> pa.Table:
+        return pa.table({"sizes": [model_sizes(*_arrays(table)).tolist()]})
+
+    shards = max(1, -(-words.count() // SHARD_WORDS))
+    counts = WordCounts(words, np.zeros(0), work)
+    parts = counts.shards(shards).groupBy("shard").applyInArrow(measure, "sizes array<double>")
+    each = F.posexplode("sizes").alias("place", "size")
+    sums = parts.select(each).groupBy("place").agg(F.sum("size").alias("size")).collect()
+    sizes = np.zeros(1 + 2 * 2 * (1 + len(STEM_BYTES)))
+    for place, size in sums:
+        sizes[place] = size
+    return WordCounts(words, sizes, work)
+
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
+    """What rows (carried, text) carry, with mean, middle and excess of their words' ratios."""
+    work, carried_type = counts.work, rows.schema["carried"].dataType.simpleString()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, compress = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1).compress
         for whole in batches:
             for batch in slices(whole, "text", BATCH_CHARS):
-                columns = [*sent.value.evidence(batch.column("text").to_pylist()).T, batch.column("toxic").cast(pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["mean", "middle", "excess", "toxic"])
+                data = [lowered(t) for t in batch.column("text").to_pylist()]
+                hashes, per_text = word_hashes(data)
+                _, first, code = np.unique(hashes, return_index=True, return_inverse=True)
+                words = b" ".join(data).split()
+                asked = b" ".join(words[i] for i in first.tolist())
+                columns = [
+                    pa.array([block]), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("carried")),
+                    *[pa.array([x], pa.binary()) for x in (
+                        compress(per_text.astype(np.int64).tobytes()), compress(code.astype(np.int32).tobytes()), compress(asked)
+                    )], pa.array([len(asked)], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "carried", "per_text", "codes", "words", "n_bytes"])
+                block += 1
+
+    schema = f"block long, carried array<{carried_type}>, per_text binary, codes binary, words binary, n_bytes long"
+    blocks = work.store(rows.select("carried", "text").mapInArrow(write, schema), "blocks")
+    n_bytes = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+    shards = max(1, -(-int(counts.sizes[0]) // SHARD_WORDS), -(-n_bytes // SHARD_BYTES))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                data = zstandard.ZstdDecompressor().decompress(packed)
+                words = data.split()
+                shard = word_hashes([data], most_bytes=STEM_BYTES[-1])[0].view(np.int64) % shards
+                order = np.argsort(shard, kind="stable")
+                parts = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []
+                found = [
+                    {"block": block, "shard": int(shard[part[0]]), "at": part.astype(np.int32).tobytes(),
+                     "words": b" ".join([words[i] for i in part.tolist()])}
+                    for part in parts
+                ]
+                if found:
+                    yield pa.RecordBatch.from_pylist(found, ASKED)
+
+    sizes = counts.sizes
+
+    def answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return ANSWERED.empty_table()
+        ratios, answers = kneser_ney_ratios(*_arrays(model), sizes), []
+        for batch in asked.combine_chunks().to_batches():
+            for part in slices(batch, "words", BATCH_CHARS):
+                found = _cut(part.column("words").to_pylist())
+                answers += [x.tobytes() for x in np.split(ratios.of_words(found), np.cumsum(found.per_text)[:-1])]
+        return pa.Table.from_arrays([asked.column("block"), asked.column("at"), pa.array(answers, pa.binary())], schema=ANSWERED)
+
+    def finish(block: pa.Table, told: pa.Table) -> pa.Table:
+        unpack = zstandard.ZstdDecompressor().decompress
+        per_text, codes = [
+            np.frombuffer(unpack(block.column(name)[0].as_py()), dtype=dtype)
+            for name, dtype in (("per_text", np.int64), ("codes", np.int32))
+        ]
+        ratio = np.zeros(int(codes.max(initial=-1)) + 1)
+        for at, ratios in zip(told.column("at"), told.column("ratios"), strict=True):
+            ratio[np.frombuffer(at.as_py(), dtype=np.int32)] = np.frombuffer(ratios.as_py(), dtype=np.float64)
+        found = evidence(ratio[codes], per_text)
+        carried = block.column("carried").combine_chunks().flatten()
+        return pa.table([carried, *[pa.array(x) for x in found.T]], names=["carried", "mean", "middle", "excess"])
+
+    ASKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("at", pa.binary()), ("words", pa.binary())])
+    ANSWERED = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("ratios", pa.binary())])
+    asked = blocks.select("block", "words").mapInArrow(ask, "block long, shard long, at binary, words binary")
+    answered = work.store(
+        asked.groupBy("shard").cogroup(counts.shards(shards).groupBy("shard"))
+        .applyInArrow(answer, "block long, at binary, ratios binary"), "answers",
+    )
+    schema = f"carried {carried_type}, mean double, middle double, excess double"
+    blocks = blocks.select("block", "carried", "per_text", "codes")
+    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, schema)
+
+
+def fit(labelled: DataFrame, work: Workspace, curve_rows: int = CURVE_ROWS) -> ToxicityModel:
+    """From labelled rows (id, text, toxic).
 
-    weighed = curve.mapInArrow(weigh, "mean double, middle double, excess double, toxic double").toArrow()
-    columns = np.column_stack([c.to_numpy() for c in weighed.columns])
-    return ToxicityModel(ratios, logistic_curve(columns[:, :-1], columns[:, -1]))
+    A hash of the id sets a fifth of the rows aside for the curve, which is fitted
+    on at most ``curve_rows`` of them, those with the smallest hashes: spread over
+    the table, the same in every run. The models count all other rows.
+    """
+    for_curve = F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(5)) == 0
+    counts = count_words(labelled.filter(~for_curve), work)
+    drawn = labelled.filter(for_curve).orderBy(F.xxhash64(F.lit("curve"), "id"), "id").limit(curve_rows)
+    drawn = work.store(drawn.select(F.col("toxic").cast("double").alias("carried"), "text"), "curve")
+    weighed = with_evidence(drawn, counts).toArrow()
+    columns = [weighed.column(name).to_numpy() for name in ("mean", "middle", "excess", "carried")]
+    return ToxicityModel(counts, logistic_curve(np.column_stack(columns[:-1]), columns[-1]))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,17 +409,15 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
     A null or empty text has no evidence and gets the score of none at all. Repeated
     rows are scored alike. An empty table gives no rows.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("carried"), text_or_empty(text_col).alias("text"))
+    id_type, curve = rows.schema["carried"].dataType.simpleString(), model.curve
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text", BATCH_CHARS):
-                scores = sent.value.scores(batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores)], ["id", "score"])
+        for batch in batches:
+            found = np.column_stack([batch.column(name).to_numpy() for name in ("mean", "middle", "excess")])
+            yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(curve(found))], ["id", "score"])
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"id {id_type}, score double")
+    return with_evidence(rows, model.counts).mapInArrow(score, f"id {id_type}, score double")
 
 
 def labelled_rows(

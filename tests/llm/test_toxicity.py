@@ -71,3 +71,34 @@ def test_held_out_rows_teach_nothing(spark):
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, None), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.labelled_rows(docs, labels, F.col("id") == 2).collect()
     assert [(r.id, r.toxic) for r in rows] == [(1, 1)]
+
+
+def test_every_labelled_row_counts(spark):
+    """Beyond the 4,000 rows a class that were drawn before."""
+    rows = [(i, f"same words own{i}", 0) for i in range(6_000)] + [(10_000 + i, f"same bad own{i}", 1) for i in range(40)]
+    with Workspace(spark) as work:
+        model = toxicity.fit(spark.createDataFrame(rows, "id long, text string, toxic int"), work)
+        kept = spark.createDataFrame(rows, "id long, text string, toxic int").filter(
+            F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(5)) != 0
+        )
+        used = [tuple(r) for r in kept.collect()]
+        words = {w for _, t, _ in used for w in t.split()}
+        counted = model.counts.words.collect()
+        assert len(counted) == len(words) > 4_100
+        assert sum(r.ordinary for r in counted) == len({p for _, t, c in used if not c for p in zip(["", *t.split()], t.split())})
+        assert sum(r.toxic for r in counted) == len({p for _, t, c in used if c for p in zip(["", *t.split()], t.split())})
+
+
+def test_shards_give_the_ratios_of_the_whole():
+    found = toxicity.words_in([prose(3, 3_000)])
+    _, first = np.unique(found.word, return_index=True)
+    rng = np.random.default_rng(1)
+    counts = [rng.integers(0, 5, len(first)), rng.integers(0, 5, len(first))]
+    word, stems = found.word[first], [x[first] for x in found.stems]
+    whole, sizes = toxicity.kneser_ney_ratios(word, stems, counts), toxicity.model_sizes(word, stems, counts)
+    for shard in range(3):
+        own = stems[-1] % np.uint64(3) == shard
+        part = toxicity.kneser_ney_ratios(word[own], [x[own] for x in stems], [c[own] for c in counts], sizes)
+        for (table, passing), (all_of, all_passing) in zip(part.levels, whole.levels, strict=True):
+            there, values = all_of.find(table.keys)
+            assert there.all() and np.allclose(values, table.values) and passing == all_passing
