@@ -1,10 +1,11 @@
 """SQL twins of the operators' queries, for DuckDB.
 
 Packing, record files, near duplicates, byte passages (too slow over whole
-tables there), sharding and toxicity have none: tests compare them with
-brute-force versions or measure held-out accuracy.
+tables there), sharding, toxicity and the quality classifier have none: tests
+compare them with brute-force versions or measure held-out accuracy.
 """
 
+from kerbside.llm import centroids, infill
 from kerbside.llm.mixing import MOST, SEED, SHARE, WEIGHTS
 
 EXACT = """
@@ -102,9 +103,68 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM d LEFT JOIN spans USING (doc_id)
 """
 
+def _clustering() -> str:
+    """One pair of tables per round: ``a``, where vectors go, and ``c``, where centroids are after it."""
+
+    def nearest(i: int) -> str:
+        return f"""a{i} AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(q) AS q, min(distance) AS distance, arg_min(cluster, (distance, cluster)) AS cluster
+  FROM (SELECT r, vec_id, q, cluster,
+               list_sum(list_transform(list_zip(q, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+        FROM kept CROSS JOIN c{i})
+  GROUP BY r)"""
+
+    def after(i: int) -> str:
+        return f"""c{i} AS (
+  SELECT cluster, coalesce(m.c, old.c) AS c FROM c{i - 1} AS old LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY k)::BIGINT[] AS c
+    FROM (SELECT cluster, k, sum(x) AS s, count(*) AS n
+          FROM (SELECT cluster, unnest(q) AS x, unnest(range(1, {centroids.DIMENSIONS + 1})) AS k FROM a{i - 1}) GROUP BY cluster, k)
+    GROUP BY cluster) AS m USING (cluster))"""
+
+    steps = ",\n".join(f"{nearest(i)},\n{after(i + 1)}" for i in range(centroids.ROUNDS))
+    last = centroids.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE len(embedding) = {centroids.DIMENSIONS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMENSIONS}
+), c0 AS (
+  SELECT (row_number() OVER (ORDER BY name, q) - 1)::INT AS cluster, q AS c
+  FROM (SELECT q, sha256('{centroids.SEED}:' || coalesce(vec_id::VARCHAR, 'null')) AS name FROM kept
+        ORDER BY name, q LIMIT {centroids.CLUSTERS})
+), {steps},
+{nearest(last)}
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} USING (cluster)
+"""
+
+
+INFILL = f"""
+WITH drawn AS (
+  SELECT doc_id, t, n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT for i in range(4)] AS h
+  FROM (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+               sha256('{infill.SEED}:' || coalesce(doc_id::VARCHAR, 'null')) AS h FROM documents)
+), cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= {infill.PLAIN_FROM}
+              THEN 'plain' WHEN h[4] % 100 < {infill.SUFFIX_FIRST_BELOW} THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT,
     "op3_quality_rules": QUALITY,
     "op5_source_mixing": MIXING,
     "op8_phrase_dedup": PHRASES,
+    "op11_centroid_clustering": _clustering(),
+    "op13_fill_in_middle": INFILL,
 }

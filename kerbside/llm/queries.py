@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import exact, mixing, near, packing, phrases, quality, records, sharding, suffix, toxicity
+from kerbside.llm import (
+    centroids,
+    exact,
+    infill,
+    mixing,
+    near,
+    packing,
+    phrases,
+    quality,
+    records,
+    sharding,
+    suffix,
+    toxicity,
+    trusted,
+)
 from kerbside.session import Workspace
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -113,6 +127,39 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroids.integer_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    found = centroids.cluster_vectors(vectors, Workspace(spark, "centroids"))
+    return centroids.with_cluster_facts(found).withColumnRenamed("id", "vec_id")
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(doc_id: str) -> Column:
+        return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 4 == 2
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores, _ = trusted.quality_scores(documents(spark, sf_dir), labels, held_out("id"), Workspace(spark, "quality"))
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= trusted.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infill.with_restored(infill.rearranged(documents(spark, sf_dir)))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output"), 256).alias("output_sha256"),
+        F.sha2(F.col("restored"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     fn.__name__: fn
     for fn in (
@@ -126,5 +173,8 @@ QUERIES = {
         op8_phrase_dedup,
         op9_toxicity,
         op10_sharding,
+        op11_centroid_clustering,
+        op12_quality_classifier,
+        op13_fill_in_middle,
     )
 }
