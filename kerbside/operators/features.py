@@ -134,26 +134,67 @@ def forecast_features(
     lagged = rows.select(
         "*", *lag_columns(window, lags), F.lead("pickups", 1).over(window).alias("label")
     )
-    built = with_rolling_means(lagged, window, rolling).select(
-        *rows.columns,
-        *[f"lag_{n}" for n in lags],
-        *[f"rolling_mean_{n}" for n in rolling],
+    return _finished(with_rolling_means(lagged, window, rolling), rows.columns, lags, rolling)
+
+
+def _finished(built: DataFrame, columns: list[str], lags: Sequence[int], rolling: Sequence[int]) -> DataFrame:
+    """Model rows from rows with lags, rolling means and label: calendar columns added, incomplete rows dropped."""
+    computed = [*[f"lag_{n}" for n in lags], *[f"rolling_mean_{n}" for n in rolling]]
+    rows = built.select(
+        *columns,
+        *computed,
         F.hour("ts_hour").alias("hour_of_day"),
         F.dayofweek("ts_hour").alias("day_of_week"),
         F.month("ts_hour").alias("month_num"),
         "label",
     )
-    required = [
-        *[f"lag_{n}" for n in lags],
-        *[f"rolling_mean_{n}" for n in rolling],
-        *CALENDAR,
-        "label",
-    ]
-    return built.dropna(subset=required).select(
+    return rows.dropna(subset=[*computed, *CALENDAR, "label"]).select(
         "*", F.year("ts_hour").alias("feat_year"), F.month("ts_hour").alias("feat_month")
     )
 
 
+def _hour_number(time: Column) -> Column:
+    return F.floor(F.unix_timestamp(time) / 3600)
+
+
+def clock_features(
+    demand: DataFrame,
+    top_n: int | None = TOP_ZONES,
+    lags: Sequence[int] = LAGS,
+    rolling: Sequence[int] = ROLLING,
+    months: tuple[str, str] = (START_MONTH, END_MONTH),
+) -> DataFrame:
+    """The rows of ``forecast_features(densify=True)`` that the mart has, without a row for any empty hour.
+
+    Frames run over hour numbers instead of rows, so an absent hour adds nothing to
+    a sum, which is what zero pickups would add. Work and shuffle follow the hours
+    with trips; a zone with ten of them a year costs ten rows. Rolling sums are
+    differences of two sums that only ever grow, so a row costs the same for any
+    window, and all frames share one exchange and one sort.
+    """
+    rows = demand if top_n is None else keep_top_zones(demand, top_n)
+    first, last = month_range(*months)
+    rows = rows.filter(F.col("ts_hour").between(first, last))
+    hour = _hour_number(F.col("ts_hour")) - _hour_number(first)
+    series = Window.partitionBy(*SERIES["service_zone"][0]).orderBy("__hour")
+
+    def pickups(low: int, high: int) -> Column:
+        """Pickups of the hours from ``low`` to ``high``, counted from the row's."""
+        return F.coalesce(F.sum("pickups").over(series.rangeBetween(low, high)), F.lit(0))
+
+    def mean(n: int) -> Column:
+        total = pickups(Window.unboundedPreceding, -1) - pickups(Window.unboundedPreceding, -n - 1)
+        return (total / F.nullif(F.least("__hour", F.lit(n)), F.lit(0))).alias(f"rolling_mean_{n}")
+
+    built = rows.withColumn("__hour", hour).select(
+        *rows.columns,
+        *[F.when(F.col("__hour") >= n, pickups(-n, -n)).alias(f"lag_{n}") for n in lags],
+        *[mean(n) for n in rolling],
+        F.when(F.col("ts_hour") < last, pickups(1, 1)).alias("label"),
+    )
+    return _finished(built, rows.columns, lags, rolling)
+
+
 def split_by_month(
     features: DataFrame, train_end: str = TRAIN_END, test_start: str = TEST_START
 ) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -20,6 +23,8 @@ from kerbside.settings import SEED
 MAX_DEPTH = (3, 5)
 MAX_ITER = (20, 50)
 FOLDS = 3
+# Hours between the last training row and the first row it is judged on: the longest lag.
+GAP_HOURS = 168
 
 ROW_KEY = ("service_type", "zone_id", "ts_hour")
 
@@ -67,6 +72,106 @@ def cross_validate(
     return validator.fit(with_folds(train))
 
 
+@dataclass(frozen=True)
+class ForwardFold:
+    """Training rows lie before ``train_before``, judged ones from ``valid_from`` to before ``valid_before``; hours since 1970."""
+
+    fold: int
+    train_before: int
+    valid_from: int
+    valid_before: int
+
+    def training(self) -> Column:
+        return _hour_number() < self.train_before
+
+    def validation(self) -> Column:
+        return (_hour_number() >= self.valid_from) & (_hour_number() < self.valid_before)
+
+
+def _hour_number() -> Column:
+    return F.floor(F.unix_timestamp("ts_hour") / 3600)
+
+
+def forward_folds(train: DataFrame, folds: int = FOLDS, gap_hours: int = GAP_HOURS) -> list[ForwardFold]:
+    """Growing training ranges, each judged on the block of hours that follows it after a gap.
+
+    The hours from the first to the last row make ``folds`` + 1 equal blocks, the last
+    one takes the rest; block 0 is trained on only. No training row is nearer than
+    ``gap_hours`` to a judged one, so that no judged row's lags reach into the training
+    rows. Without rows there are no folds.
+    """
+    first, last = train.agg(F.min(_hour_number()), F.max(_hour_number())).first()
+    if first is None:
+        return []
+    block = (last - first + 1) // (folds + 1)
+    starts = [first + block * i for i in range(1, folds + 1)]
+    ends = [*starts[1:], last + 1]
+    return [
+        ForwardFold(i, start - gap_hours, start, end)
+        for i, (start, end) in enumerate(zip(starts, ends, strict=True))
+    ]
+
+
+def fold_sizes(train: DataFrame, folds: Sequence[ForwardFold]) -> DataFrame:
+    """fold, role, rows, first_hour, last_hour of every fold's two sides; one pass over the rows."""
+    sides = [(f.fold, role, test) for f in folds for role, test in (("train", f.training()), ("validate", f.validation()))]
+    member = F.array(*[F.when(test, F.struct(F.lit(n).alias("fold"), F.lit(r).alias("role"))) for n, r, test in sides])
+    placed = train.select("ts_hour", F.explode(F.filter(member, lambda m: m.isNotNull())).alias("side"))
+    return placed.groupBy("side.fold", "side.role").agg(
+        F.count("*").alias("rows"), F.min("ts_hour").alias("first_hour"), F.max("ts_hour").alias("last_hour")
+    )
+
+
+@dataclass(frozen=True)
+class ForwardValidation:
+    """``errors``: (fold, max_depth, max_iter, rmse); ``best``: the grid point with the smallest mean; ``model``: fitted on all rows."""
+
+    errors: list[tuple[int, int, int, float]]
+    best: tuple[int, int]
+    model: PipelineModel
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.errors, "fold int, max_depth int, max_iter int, rmse double")
+
+
+def forward_validate(
+    train: DataFrame,
+    max_depth: Sequence[int] = MAX_DEPTH,
+    max_iter: Sequence[int] = MAX_ITER,
+    folds: int = FOLDS,
+    gap_hours: int = GAP_HOURS,
+    parallelism: int = 4,
+) -> ForwardValidation:
+    """Best of the grid by mean RMSE over the forward folds, refitted on all rows; ties take the smaller trees.
+
+    Pass a stored or cached frame: every fit reads it again. A fold without rows on
+    either side, as in a short range, is left out; when none is left this raises.
+    """
+    pipeline = build_pipeline()
+    found = forward_folds(train, folds, gap_hours)
+    sizes = {(r.fold, r.role) for r in fold_sizes(train, found).collect()} if found else set()
+    usable = [f for f in found if {(f.fold, "train"), (f.fold, "validate")} <= sizes]
+    if not usable:
+        raise ValueError("the rows span too few hours for a fold")
+    grid = list(itertools.product(max_depth, max_iter))
+
+    def settings(depth: int, rounds: int) -> dict:
+        trees = pipeline.getStages()[-1]
+        return {trees.maxDepth: depth, trees.maxIter: rounds}
+
+    def error(task) -> tuple[int, int, int, float]:
+        fold, (depth, rounds) = task
+        model = pipeline.fit(train.filter(fold.training()), settings(depth, rounds))
+        scored = model.transform(train.filter(fold.validation()))
+        return fold.fold, depth, rounds, scored.agg(error_columns("prediction")[1]).first()[0]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        errors = list(pool.map(error, itertools.product(usable, grid)))
+    means = {point: sum(e for _, d, i, e in errors if (d, i) == point) / len(usable) for point in grid}
+    best = min(grid, key=lambda point: (means[point], point))
+    return ForwardValidation(errors, best, pipeline.fit(train, settings(*best)))
+
+
 def error_columns(prediction: str, label: str = "label") -> tuple[Column, Column]:
     """Aggregates: mean absolute error and root mean squared error."""
     gap = F.col(label) - F.col(prediction)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,16 +24,16 @@ def _mean(total: str, count: str) -> Column:
     return F.sum(total) / F.nullif(F.sum(count), F.lit(0))
 
 
-def zone_hour_demand(trips: DataFrame) -> DataFrame:
-    """Pickups, mean fare and distance, median and p95 duration per service, zone and hour."""
-    keys = ["service_type", "zone_id", "ts_hour"]
-    by_duration = (
+def demand_counts(trips: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Usable trips, fares and distances per service, zone, hour and duration."""
+    return (
         trips.filter(usable())
         .groupBy(
             "service_type",
             F.col("pu_location_id").alias("zone_id"),
             F.date_trunc("hour", "pickup_datetime").alias("ts_hour"),
             "trip_duration_sec",
+            *more,
         )
         .agg(
             F.count("*").alias("n"),
@@ -41,8 +43,13 @@ def zone_hour_demand(trips: DataFrame) -> DataFrame:
             F.count("trip_distance").alias("distance_n"),
         )
     )
+
+
+def demand_from_counts(counts: DataFrame) -> DataFrame:
+    """The demand mart from one row per service, zone, hour and duration."""
+    keys = ["service_type", "zone_id", "ts_hour"]
     return (
-        with_cumulative_counts(by_duration, keys, "trip_duration_sec", "n")
+        with_cumulative_counts(counts, keys, "trip_duration_sec", "n")
         .groupBy(*keys)
         .agg(
             F.sum("n").alias("pickups"),
@@ -54,6 +61,11 @@ def zone_hour_demand(trips: DataFrame) -> DataFrame:
     )
 
 
+def zone_hour_demand(trips: DataFrame) -> DataFrame:
+    """Pickups, mean fare and distance, median and p95 duration per service, zone and hour."""
+    return demand_from_counts(demand_counts(trips))
+
+
 def monthly_service_summary(trips: DataFrame) -> DataFrame:
     """Trips, pickup zones, mean and p95 duration per service and month.
 
@@ -80,23 +92,31 @@ def monthly_service_summary(trips: DataFrame) -> DataFrame:
             (F.col("rows") * F.col("counts_durations")).alias("n"),
         )
     )
+    return durations_summary(sides, keys, F.count("pu_location_id").alias("unique_pu_zones"))
+
+
+def durations_summary(counts: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Trips, ``more`` aggregates, mean and p95 duration per group, from one row per duration."""
     return (
-        with_cumulative_counts(sides, keys, "trip_duration_sec", "n")
+        with_cumulative_counts(counts, keys, "trip_duration_sec", "n")
         .groupBy(*keys)
         .agg(
             F.sum("n").alias("trips"),
-            F.count("pu_location_id").alias("unique_pu_zones"),
+            *more,
             (F.sum(F.col("trip_duration_sec") * F.col("n")) / F.sum("n")).alias("avg_duration_sec"),
             quantile("trip_duration_sec", "0.95").alias("p95_duration_sec"),
         )
     )
 
 
+def is_long() -> Column:
+    return F.col("trip_duration_sec") > LONG_TRIP_SECONDS
+
+
 def zone_hour_reliability(trips: DataFrame) -> DataFrame:
     """Trip count and share of long trips per service, zone and hour of day."""
-    is_long = (F.col("trip_duration_sec") > LONG_TRIP_SECONDS).cast("int")
     return (
         trips.filter(usable())
         .groupBy("service_type", F.col("pu_location_id").alias("zone_id"), "hour")
-        .agg(F.count("*").alias("trip_count"), F.avg(is_long).alias("share_long_trips"))
+        .agg(F.count("*").alias("trip_count"), F.avg(is_long().cast("int")).alias("share_long_trips"))
     )

@@ -179,6 +179,51 @@ _MONTH_TOTALS = """
   round(sum(total_amount) FILTER (service_type <> 'fhv'), 4) AS amount"""
 
 
+_DELIVERED = ",".join(
+    [
+        _SHIPPED_RAW,
+        _trips("all_trips", "shipped_raw"),
+        """
+trips AS (
+  SELECT * REPLACE (CASE WHEN service_type <> 'fhv' THEN total_amount END AS total_amount,
+                    CASE WHEN service_type <> 'fhv' THEN trip_distance END AS trip_distance)
+  FROM all_trips WHERE NOT (service_type = 'fhv' AND year = 1998))""",
+    ]
+)
+
+_DENSE_TRAIN = f"""
+train AS (
+  SELECT *, CAST(epoch(ts_hour) // 3600 AS BIGINT) AS h FROM built WHERE {_TRAIN}),
+bounds AS (SELECT min(h) AS first, max(h) AS last, (max(h) - min(h) + 1) // 4 AS block FROM train),
+folds AS (
+  SELECT k - 1 AS fold, first + block * k AS valid_from, CASE WHEN k = 3 THEN last + 1 ELSE first + block * (k + 1) END AS valid_before
+  FROM bounds, (SELECT unnest([1, 2, 3]) AS k) AS ks)"""
+
+
+def _month_columns() -> str:
+    """Headers and types of each service's files, as the drifting months are written."""
+
+    def listed(ids: str, count: str, times: str, zones: str, measures: str) -> str:
+        pairs = [(c, "timestamp_ntz") for c in times.split()] + [(c, ids) for c in zones.split()]
+        pairs += [(c, count if c == "passenger_count" else "double") for c in measures.split()]
+        return ", ".join(f"('{c}', '{t}')" for c, t in pairs)
+
+    zones, measures = "PULocationID DOLocationID", "passenger_count trip_distance fare_amount total_amount"
+    variants = {
+        "service_type = 'yellow' AND year % 2 = 0": ("bigint", "int", "tpep_pickup_datetime tpep_dropoff_datetime", zones, measures),
+        "service_type = 'yellow' AND year % 2 = 1": (
+            "double", "double", "Tpep_Pickup_Datetime Tpep_Dropoff_Datetime", zones, measures.replace("fare_amount ", ""),
+        ),
+        "service_type = 'green'": ("bigint", "int", "lpep_pickup_datetime lpep_dropoff_datetime", zones, measures),
+        "service_type = 'fhv' AND year % 2 = 0": ("bigint", "int", "pickup_datetime dropOff_datetime", "PUlocationID DOlocationID", ""),
+        "service_type = 'fhv' AND year % 2 = 1": ("double", "double", "Pickup_datetime DropOff_datetime", zones, ""),
+    }
+    return " UNION ALL ".join(
+        f"SELECT DISTINCT service_type, year, month, column_name, data_type FROM trips, (VALUES {listed(*v)}) AS c(column_name, data_type) WHERE {test}"
+        for test, v in variants.items()
+    )
+
+
 def _with(*ctes: str, select: str) -> str:
     return f"WITH {','.join(ctes)}\n{select}"
 
@@ -338,6 +383,39 @@ FROM trips GROUP BY service_type, year, month""",
             select="""SELECT service_type, year, month, EXISTS (SELECT 1 FROM trips AS t
   WHERE t.service_type = c.service_type AND t.year = c.year AND t.month = c.month) AS landed
 FROM calendar AS c""",
+        ),
+        "probed_columns": _with(_B, select=_month_columns()),
+        "silver_changes": _with(
+            _B,
+            select="""SELECT service_type, year AS src_year, month AS src_month,
+  CASE WHEN service_type = 'fhv' AND year = 1998 THEN 'removed' WHEN year >= 2001 THEN 'added' ELSE 'replaced' END AS change
+FROM (SELECT DISTINCT service_type, year, month FROM trips) AS months
+WHERE year >= 2001 OR (service_type = 'green' AND year = 1996) OR (service_type = 'fhv' AND year = 1998)""",
+        ),
+        "silver_increments": _with(
+            _DELIVERED,
+            select=f"""SELECT {_MONTH_TOTALS}, CAST(count(*) AS BIGINT) AS manifest_rows,
+  CAST(CASE WHEN year >= 2001 OR (service_type = 'green' AND year = 1996) THEN 2 ELSE 1 END AS INTEGER) AS written_in
+FROM trips GROUP BY service_type, year, month""",
+        ),
+        "kept_demand": _with(_DELIVERED, _DEMAND, select=f"SELECT {_DEMAND_COLUMNS} FROM demand"),
+        "kept_monthly_summary": _with(
+            _DELIVERED,
+            _MONTHLY,
+            select="""SELECT service_type, year, month, trips, unique_pu_zones,
+  round(round(avg_duration_sec, 10), 6) AS avg_duration_sec, p95_duration_sec FROM monthly""",
+        ),
+        "kept_reliability": _with(
+            _DELIVERED,
+            _RELIABILITY,
+            select="""SELECT service_type, zone_id, hour, trip_count,
+  round(round(share_long_trips, 10), 6) AS share_long_trips FROM reliability""",
+        ),
+        "zones_by_quarter": _with(
+            _DELIVERED,
+            select="""SELECT service_type, year, CAST(quarter(pickup_datetime) AS INTEGER) AS quarter,
+  count(DISTINCT pu_location_id) AS unique_pu_zones
+FROM trips WHERE valid_time GROUP BY ALL""",
         ),
         "reencoded": _with(
             _B, select=f"SELECT {_MONTH_TOTALS} FROM trips GROUP BY service_type, year, month"
@@ -374,6 +452,27 @@ FROM demand""",
         "features_densified": _with(
             _A, _DEMAND, _BUSIEST_50, _DENSE, _DENSE_FEATURES, select=f"SELECT {_FEATURE_COLUMNS} FROM built"
         ),
+        "features_by_clock": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _DENSE,
+            _DENSE_FEATURES,
+            select=f"SELECT {_FEATURE_COLUMNS} FROM built WHERE p50_duration IS NOT NULL",
+        ),
+        "forward_fold_sizes": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _DENSE,
+            _DENSE_FEATURES,
+            _DENSE_TRAIN,
+            select="""SELECT CAST(fold AS INTEGER) AS fold, role, count(*) AS rows, min(ts_hour) AS first_hour, max(ts_hour) AS last_hour
+FROM (
+  SELECT fold, 'train' AS role, ts_hour FROM train JOIN folds ON h < valid_from - 168
+  UNION ALL SELECT fold, 'validate', ts_hour FROM train JOIN folds ON h >= valid_from AND h < valid_before) AS sides
+GROUP BY fold, role""",
+        ),
         "train_split": _with(
             _A, _DEMAND, _BUSIEST_50, _BY_ZONE, select=f"SELECT {_FEATURE_COLUMNS} FROM built WHERE {_TRAIN}"
         ),

@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside import proxies
-from kerbside.operators import features, forecast, harmonise, insights, marts, profile, timing
+from kerbside.operators import features, forecast, harmonise, insights, marts, partials, profile, timing
+from kerbside.plans import increments
 from kerbside.plans.forecasting import ForecastRun, fit_and_score
 from kerbside.plans.layers import load_trips
 from kerbside.plans.recode import MONTH_FOLDERS, recode_months, write_months
 from kerbside.plans.subset import keep_busiest_zones, load_subset, make_subset
-from kerbside.session import Workspace, pin_timezone
+from kerbside.session import Workspace, pin_timezone, remove_path
 from kerbside.settings import AIRPORT_ZONES, END_MONTH, MIDTOWN_ZONES, SERVICES, START_MONTH, Lake
 from kerbside.sources import months as M
 from kerbside.sources.jdbc import year_slice
@@ -33,6 +34,8 @@ RAW_RANGE = ("1994-01", "2002-12")
 LAGS_WITH_SEASONAL = (1, 23, 24, 168)
 SUBSET_MONTH = {"month": "1995-06", "service": "green"}
 DENSE_MONTHS = ("2024-12", "2025-01")
+# What the second delivery of monthly files brings: months from here on, these months corrected, those withdrawn.
+LATE_FROM, CORRECTED, WITHDRAWN = 2001, ("green", 1996), ("fhv", 1998)
 
 _REGISTRY: dict[str, Query] = {}
 _RUNS: WeakKeyDictionary[SparkSession, dict[str, QueryRun]] = WeakKeyDictionary()
@@ -261,13 +264,14 @@ def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.missing_months(expected, _landed(proxies.event_trips(spark, sf_dir)))
 
 
-def _write_raw_months(spark: SparkSession, sf_dir: str) -> Lake:
-    """Lineitem rides as monthly files whose headers, types and columns drift by year."""
-    work = run_over(spark, sf_dir).work
-    root = work.path("months")
-    rides = proxies.shipped_rides(spark, sf_dir).select(
+def _ride_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proxies.shipped_rides(spark, sf_dir).select(
         "*", F.year("pickup_datetime").alias("y"), F.month("pickup_datetime").alias("m")
     )
+
+
+def _write_raw_months(rides: DataFrame, root: str) -> None:
+    """Lineitem rides as monthly files whose headers, types and columns drift by year."""
     even = F.col("y") % 2 == 0
     double_ids = {c: F.col(c).cast("double") for c in ("pu_location_id", "do_location_id", "passenger_count")}
     zones = {"pu_location_id": "PULocationID", "do_location_id": "DOLocationID"}
@@ -294,15 +298,25 @@ def _write_raw_months(spark: SparkSession, sf_dir: str) -> Lake:
             .drop(*dropped)
         )
         write_months(raw, root, service, "y", "m", "zstd")
-    return Lake(raw=root, out=work.path("out"), month_layout=MONTH_FOLDERS)
 
 
 def _times(pickup: str, dropoff: str) -> dict[str, str]:
     return {"pickup_datetime": pickup, "dropoff_datetime": dropoff}
 
 
+def _new_lake(run: QueryRun, name: str) -> Lake:
+    return Lake(raw=run.work.path(f"{name}-raw"), out=run.work.path(f"{name}-out"), month_layout=MONTH_FOLDERS)
+
+
 def _raw_months(spark: SparkSession, sf_dir: str) -> Lake:
-    return run_over(spark, sf_dir).once("months", lambda: _write_raw_months(spark, sf_dir))
+    run = run_over(spark, sf_dir)
+
+    def build() -> Lake:
+        lake = _new_lake(run, "months")
+        _write_raw_months(_ride_months(spark, sf_dir), lake.raw)
+        return lake
+
+    return run.once("months", build)
 
 
 def _month_totals(trips: DataFrame, *extra) -> DataFrame:
@@ -340,6 +354,12 @@ def landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.month_report(spark, M.probe_months(spark, _raw_months(spark, sf_dir), SERVICES, *RAW_RANGE))
 
 
+@query
+def probed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw columns and types of every landed month, as its footer has them."""
+    return M.month_columns(spark, M.probe_months(spark, _raw_months(spark, sf_dir), SERVICES, *RAW_RANGE))
+
+
 @query
 def reencoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same totals after rewriting the files with another codec."""
@@ -367,6 +387,80 @@ def subset_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_subset(spark, replace(lake, out=run_over(spark, sf_dir).work.path("no-subset")), **SUBSET_MONTH)
 
 
+# Tables kept up to date by month
+
+
+def _of(chosen: tuple[str, int]):
+    return (F.col("service_type") == chosen[0]) & (F.col("y") == chosen[1])
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[Lake, list[tuple[str, int, int, str]]]:
+    """A lake after two deliveries of monthly files, silver and partials updated after each; and what the second changed."""
+    run = run_over(spark, sf_dir)
+
+    def build():
+        lake, rides = _new_lake(run, "deliveries"), _ride_months(spark, sf_dir)
+        wrong = {"pu_location_id": F.lit(1).cast("bigint"), "total_amount": F.col("total_amount") * 2}
+        early = rides.filter(F.col("y") < LATE_FROM)
+        mended = {name: F.when(_of(CORRECTED), value).otherwise(F.col(name)) for name, value in wrong.items()}
+        _write_raw_months(early.withColumns(mended), lake.raw)
+        span = (SERVICES, *RAW_RANGE)
+        increments.update_silver(spark, lake, *span)
+        increments.update_partials(spark, lake)
+        _write_raw_months(rides.filter((F.col("y") >= LATE_FROM) | _of(CORRECTED)), lake.raw)
+        service, year = WITHDRAWN
+        for month in range(1, 13):
+            remove_path(spark, lake.month_path(service, year, month))
+        changed = increments.update_silver(spark, lake, *span)
+        increments.update_partials(spark, lake)
+        return lake, changed
+
+    return run.once("deliveries", build)
+
+
+@query
+def silver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second delivery changed, as the update found it."""
+    _, changed = _deliveries(spark, sf_dir)
+    return spark.createDataFrame(changed, "service_type string, src_year int, src_month int, change string")
+
+
+@query
+def silver_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per month of the kept trips, and which update wrote the month: unchanged months stay as first written."""
+    lake, _ = _deliveries(spark, sf_dir)
+    months = increments.kept_silver(lake).manifest(spark).select(
+        "service_type",
+        F.col("src_year").alias("year"),
+        F.col("src_month").alias("month"),
+        F.col("rows").alias("manifest_rows"),
+        "written_in",
+    )
+    return _month_totals(increments.read_kept_trips(spark, lake)).join(months, ["service_type", "year", "month"], "full")
+
+
+@query
+def kept_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demand mart merged from stored counts per source month."""
+    return increments.read_kept_mart(spark, _deliveries(spark, sf_dir)[0], "zone_hour_demand")
+
+
+@query
+def kept_monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return increments.read_kept_mart(spark, _deliveries(spark, sf_dir)[0], "monthly_service_summary")
+
+
+@query
+def kept_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return increments.read_kept_mart(spark, _deliveries(spark, sf_dir)[0], "zone_hour_reliability")
+
+
+@query
+def zones_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different pickup zones per quarter, from the stored bitmaps of the months."""
+    return partials.zones_by_quarter(increments.read_partial(spark, _deliveries(spark, sf_dir)[0], "zone_sets"))
+
+
 # Features
 
 
@@ -410,6 +504,12 @@ def features_densified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.forecast_features(_stored_demand(spark, sf_dir), densify=True, months=DENSE_MONTHS)
 
 
+@query
+def features_by_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The densified features of the hours that have trips, without filling any."""
+    return features.clock_features(_stored_demand(spark, sf_dir), months=DENSE_MONTHS)
+
+
 def _split(spark: SparkSession, sf_dir: str, lags=features.LAGS) -> tuple[DataFrame, DataFrame]:
     built = features.forecast_features(_stored_demand(spark, sf_dir), partition="zone", lags=lags)
     return features.split_by_month(built)
@@ -471,6 +571,13 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.with_folds(train).groupBy("fold").agg(F.count("*").alias("rows"))
 
 
+@query
+def forward_fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and hours of the forward-chaining folds: no training row within the gap before a judged one."""
+    train, _ = _dense_split(spark, sf_dir)
+    return forecast.fold_sizes(train, forecast.forward_folds(train))
+
+
 @query
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.cross_validation_table(spark, _fitted(spark, sf_dir).model)

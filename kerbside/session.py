@@ -106,8 +106,18 @@ def _close_workspaces() -> None:
             workspace.close()
 
 
+def _store(spark: SparkSession, path: str):
+    """(Hadoop path, the file system that holds it)."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder in whatever store holds it."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    target, store = _store(spark, path)
+    store.delete(target, True)
+
+
+def store_scheme(spark: SparkSession, path: str) -> str:
+    """Scheme of the store that holds a path, the default one's where the path names none."""
+    return _store(spark, path)[1].getUri().getScheme()

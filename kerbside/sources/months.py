@@ -1,14 +1,13 @@
 """Monthly trip files: what is expected, what is there, and how to scan it.
 
-Each month is probed once (existence and footer), many at a time. Months with
-the same footer share one scan, so the number of plan branches follows the
-number of schema variants, not the number of files.
+One listing finds the files and one job reads their footers. Files with the same
+columns and types share one scan, so the number of plan branches and of the
+driver's own reads follows the number of variants, not the number of files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,18 +18,23 @@ from pyspark.sql import types as T
 
 from kerbside.functions.trips import parse_month
 from kerbside.settings import END_MONTH, SERVICES, START_MONTH, Lake
+from kerbside.sources.footers import landed_files
 
-_PROBES_AT_ONCE = 16
 _MONTH_IN_PATH = r".*_tripdata_(\d{4})-(\d{2})"
 
 
 @dataclass(frozen=True)
 class Month:
+    """``variants``: per variant of columns and types, what to read; none where the month is absent."""
+
     service: str
     year: int
     month: int
-    path: str
-    schema: T.StructType | None
+    variants: dict[str, tuple[str, ...]]
+
+    @property
+    def landed(self) -> bool:
+        return bool(self.variants)
 
 
 def month_spine(spark: SparkSession, start: str = START_MONTH, end: str = END_MONTH) -> DataFrame:
@@ -91,7 +95,26 @@ def probe_months(
     start: str = START_MONTH,
     end: str = END_MONTH,
 ) -> list[Month]:
-    """Every expected month with its footer schema, None where the file is absent."""
+    """Every expected month and what its files hold."""
+    services = list(services)
+    return months_of(landed_files(spark, lake, services, start, end), lake, services, start, end)
+
+
+def months_of(
+    files: DataFrame,
+    lake: Lake,
+    services: Iterable[str] = SERVICES,
+    start: str = START_MONTH,
+    end: str = END_MONTH,
+) -> list[Month]:
+    """Every expected month and its landed files.
+
+    A month whose files agree is read as a whole, be it a file or a folder. The
+    driver holds a row per file, as it does for any scan of them.
+    """
+    found: dict[tuple, dict[str, list[str]]] = {}
+    for row in files.select("service_type", "year", "month", "variant", "path").collect():
+        found.setdefault((row.service_type, row.year, row.month), {}).setdefault(row.variant, []).append(row.path)
     first, last = parse_month(start), parse_month(end)
     calendar = [
         (year, month)
@@ -100,37 +123,53 @@ def probe_months(
         if first <= (year, month) <= last
     ]
 
-    def probe(service: str, year: int, month: int) -> Month:
-        path = lake.month_path(service, year, month)
-        found = try_read(spark, path)
-        return Month(service, year, month, path, None if found is None else found.schema)
+    def month(service: str, year: int, month: int) -> Month:
+        variants = found.get((service, year, month), {})
+        if len(variants) == 1:
+            return Month(service, year, month, {next(iter(variants)): (lake.month_path(service, year, month),)})
+        return Month(service, year, month, {variant: tuple(sorted(paths)) for variant, paths in sorted(variants.items())})
 
-    with ThreadPoolExecutor(_PROBES_AT_ONCE) as pool:
-        jobs = [pool.submit(probe, s, y, m) for s in services for y, m in calendar]
-        return [job.result() for job in jobs]
+    return [month(s, y, m) for s in services for y, m in calendar]
 
 
 def month_report(spark: SparkSession, months: list[Month]) -> DataFrame:
     """Probe outcome as a table: service_type, year, month, landed."""
-    rows = [(m.service, m.year, m.month, m.schema is not None) for m in months]
+    rows = [(m.service, m.year, m.month, m.landed) for m in months]
     return spark.createDataFrame(rows, "service_type string, year int, month int, landed boolean")
 
 
-def _footer_key(schema: T.StructType) -> tuple:
-    return tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in schema.fields))
+def variant_schemas(spark: SparkSession, months: Iterable[Month]) -> dict[tuple[str, str], T.StructType]:
+    """Columns and types by service and variant, asked of one file each."""
+    examples = {(m.service, variant): paths[0] for m in months for variant, paths in m.variants.items()}
+    return {key: spark.read.parquet(path).schema for key, path in examples.items()}
+
+
+def month_columns(spark: SparkSession, months: list[Month]) -> DataFrame:
+    """The raw columns of every landed month: service_type, year, month, column_name, data_type."""
+    schemas = [
+        (service, variant, field.name, field.dataType.simpleString())
+        for (service, variant), schema in variant_schemas(spark, months).items()
+        for field in schema.fields
+    ]
+    columns = spark.createDataFrame(schemas, "service_type string, variant string, column_name string, data_type string")
+    held = [(m.service, m.year, m.month, variant) for m in months for variant in m.variants]
+    landed = spark.createDataFrame(held, "service_type string, year int, month int, variant string")
+    return landed.join(columns, ["service_type", "variant"]).drop("variant").distinct()
 
 
 def scan_variants(spark: SparkSession, months: Iterable[Month]) -> list[DataFrame]:
-    """One scan per service and footer variant, with where each row came from."""
-    variants: dict[tuple, list[Month]] = {}
+    """One scan per service and variant of columns and types, with where each row came from."""
+    months = list(months)
+    paths: dict[tuple[str, str], list[str]] = {}
     for month in months:
-        if month.schema is not None:
-            variants.setdefault((month.service, _footer_key(month.schema)), []).append(month)
-    return [_scan(spark, service, members) for (service, _), members in variants.items()]
+        for variant, held in month.variants.items():
+            paths.setdefault((month.service, variant), []).extend(held)
+    schemas = variant_schemas(spark, months)
+    return [_scan(spark, key[0], schemas[key], members) for key, members in paths.items()]
 
 
-def _scan(spark: SparkSession, service: str, members: list[Month]) -> DataFrame:
-    frame = spark.read.schema(members[0].schema).parquet(*[m.path for m in members])
+def _scan(spark: SparkSession, service: str, schema: T.StructType, paths: list[str]) -> DataFrame:
+    frame = spark.read.schema(schema).parquet(*paths)
     path = F.col("_metadata.file_path")
     return frame.withColumns(
         {

@@ -122,3 +122,23 @@ def test_split_has_no_overlap_and_keeps_gaps_out(spark):
     assert {tuple(r) for r in test.collect()} == set(months[3:])
     early, late = X.split_by_month(df, "2023-12", "2025-02")
     assert (early.count(), late.count()) == (1, 2)
+
+
+def test_clock_features_equal_the_densified_rows_that_exist(spark):
+    rng = random.Random(4)
+    hours = sorted(rng.sample(range(-30, 24 * 40), 300))
+    rows = [(s, z, h, rng.randint(1, 9)) for s, z in (("yellow", 1), ("fhv", 1), ("yellow", 2)) for h in hours if rng.random() < 0.8]
+    rows += [("green", 3, 24 * 31 + 743, 5), ("green", 3, 400, 2)]
+    table = demand(spark, rows)
+    span = ("2024-12", "2025-01")
+    for lags, rolling in (((1, 23, 24, 168), (24, 168)), ((2,), (1, 700))):
+        filled = X.forecast_features(table, densify=True, lags=lags, rolling=rolling, months=span)
+        clock = X.clock_features(table, lags=lags, rolling=rolling, months=span)
+        want = filled.filter("p50_duration IS NOT NULL")
+        assert clock.dtypes == want.dtypes and want.count() > 300
+        assert sorted(map(tuple, clock.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_clock_features_take_one_exchange_and_fill_nothing(spark):
+    plan = X.clock_features(demand(spark, [("yellow", 1, 0, 1)]), top_n=None)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Generate" not in plan

@@ -109,3 +109,31 @@ def test_timings(spark):
     timings = time_cached_and_uncached(spark, demand(spark, [("yellow", 1, 0, 1)]), "tiny")
     assert [r.experiment for r in timings.collect()] == ["tiny_no_cache", "tiny_cached"]
     assert all(r.elapsed_sec >= 0 for r in timings.collect())
+
+
+def test_forward_folds_keep_their_distance(spark):
+    rows = demand(spark, [("yellow", z, h, 1) for z in (1, 2) for h in range(0, 1000, 1 + z)])
+    folds = G.forward_folds(rows, 3, 168)
+    assert [f.valid_from - f.train_before for f in folds] == [168] * 3
+    assert [a.valid_before for a in folds[:2]] == [b.valid_from for b in folds[1:]]
+    for fold in folds:
+        last = rows.filter(fold.training()).agg(F.max(F.unix_timestamp("ts_hour") / 3600)).first()[0]
+        first = rows.filter(fold.validation()).agg(F.min(F.unix_timestamp("ts_hour") / 3600)).first()[0]
+        assert last is None or first - last > 168
+    sizes = {(r.fold, r.role): r.rows for r in G.fold_sizes(rows, folds).collect()}
+    assert all(sizes.get((f.fold, "train"), 0) == rows.filter(f.training()).count() for f in folds)
+    assert sum(n for (_, role), n in sizes.items() if role == "validate") == rows.filter(folds[0].validation() | folds[1].validation() | folds[2].validation()).count()
+    assert G.forward_folds(rows.limit(0)) == []
+
+
+def test_forward_validation_searches_the_grid(spark):
+    table = demand(spark, [("yellow", z, h, (h % 24) + z) for z in (1, 2) for h in range(900)])
+    rows = X.forecast_features(table).persist()
+    found = G.forward_validate(rows, (1, 3), (2, 5), folds=2, gap_hours=24)
+    assert {(d, i) for _, d, i, _ in found.errors} == {(1, 2), (1, 5), (3, 2), (3, 5)} and len(found.errors) == 8
+    means = {p: sum(e for _, d, i, e in found.errors if (d, i) == p) for p in {(d, i) for _, d, i, _ in found.errors}}
+    assert found.best == min(means, key=lambda p: (means[p], p)) == (found.model.stages[-1].trees[0].depth, found.model.stages[-1].getNumTrees)
+    assert found.table(spark).count() == 8
+    with pytest.raises(ValueError, match="too few hours"):
+        G.forward_validate(rows.limit(1), (1,), (2,))
+    rows.unpersist()
