@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -242,9 +243,10 @@ def cross_validation_table(spark: SparkSession, model: CrossValidatorModel) -> D
 
 
 def prediction_table(predictions: DataFrame, n: int | None = None) -> DataFrame:
-    """The predictions without the vector column; with ``n``, so many, the same ones in every run."""
+    """The predictions without the vector column; with ``n``, so many by a digest of their keys, the same ones in every run."""
     plain = predictions.drop("features")
-    return plain if n is None else plain.orderBy(F.xxhash64(*ROW_KEY), *ROW_KEY).limit(n)
+    digest = F.md5(F.concat_ws("|", "service_type", "zone_id", F.date_format("ts_hour", "yyyy-MM-dd HH")))
+    return plain if n is None else plain.orderBy(digest, *ROW_KEY).limit(n)
 
 
 def busiest_zone_series(
@@ -259,3 +261,66 @@ def busiest_zone_series(
         .select("ts_hour", "service_type", "zone_id", "label", F.col(prediction).alias("prediction"))
     )
     return series if n is None else series.limit(n)
+
+
+@dataclass(frozen=True)
+class TreeNode:
+    """A split (feature, threshold; left if not above it) or, without a feature, a leaf's prediction."""
+
+    tree: int
+    node: int
+    feature: str | None = None
+    threshold: float | None = None
+    left: int | None = None
+    right: int | None = None
+    prediction: float | None = None
+
+
+_SPLIT = re.compile(r"If \(feature (\d+) <= (\S+)\)")
+
+
+def exported_trees(model: CrossValidatorModel | PipelineModel) -> tuple[list[float], list[TreeNode]]:
+    """(weights, nodes) of the fitted trees as plain values; a tree's nodes are numbered from its root, 0, depth first."""
+    fitted = model.bestModel if isinstance(model, CrossValidatorModel) else model
+    names, trees = fitted.stages[0].getInputCols(), fitted.stages[-1]
+    nodes: list[TreeNode] = []
+    for number, tree in enumerate(trees.trees):
+        lines = iter([line.strip() for line in tree.toDebugString.splitlines()[1:] if line.strip()])
+        numbers = itertools.count()
+
+        def read(number: int = number, lines=lines, numbers=numbers) -> int:
+            """Notes the node that the next line starts, and all below it."""
+            line, node = next(lines), next(numbers)
+            if line.startswith("Predict:"):
+                nodes.append(TreeNode(number, node, prediction=float(line.split(":")[1])))
+                return node
+            feature, threshold = _SPLIT.fullmatch(line).groups()
+            left = read(number, lines, numbers)
+            next(lines)  # the line "Else"
+            right = read(number, lines, numbers)
+            nodes.append(TreeNode(number, node, names[int(feature)], float(threshold), left, right))
+            return node
+
+        read()
+    return list(trees.treeWeights), nodes
+
+
+def tree_prediction(weights: Sequence[float], nodes: Sequence[TreeNode]) -> Column:
+    """The model as one expression over its feature columns: no vectors and no MLlib where it scores."""
+    by_place = {(n.tree, n.node): n for n in nodes}
+
+    def value(tree: int, node: int) -> str:
+        found = by_place[tree, node]
+        if found.feature is None:
+            return f"{found.prediction!r}D"
+        return f"IF(`{found.feature}` <= {found.threshold!r}D, {value(tree, found.left)}, {value(tree, found.right)})"
+
+    return F.expr(" + ".join(f"{weight!r}D * {value(tree, 0)}" for tree, weight in enumerate(weights)))
+
+
+def tree_table(spark: SparkSession, nodes: Sequence[TreeNode]) -> DataFrame:
+    """The nodes as rows, to store beside a model."""
+    rows = [(n.tree, n.node, n.feature, n.threshold, n.left, n.right, n.prediction) for n in nodes]
+    return spark.createDataFrame(
+        rows, "tree int, node int, feature string, threshold double, left int, right int, prediction double"
+    )

@@ -7,9 +7,16 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.trips import zone_group
+from kerbside.functions.ranks import rank_test
+from kerbside.functions.trips import usable, zone_group
+from kerbside.session import Workspace
 from kerbside.settings import TREND_MIN_TRIPS, ZONE_GROUPS
 
+# Fixed value: fences lie this many quartile distances beyond the quartiles.
+FENCE = 1.5
+# A value this near to a fence is inside, so that rounding does not decide.
+_NEAR = 1e-9
+
 
 def top_by(df: DataFrame, key: str, measure: str, n: int) -> DataFrame:
     """The n rows with the largest measure; ties go to the smaller key."""
@@ -101,3 +108,38 @@ def zone_group_quartiles(
             "max",
         )
     )
+
+
+def _beside_fences(reliability: DataFrame, groups: Mapping[str, Iterable[int]]) -> DataFrame:
+    """Labelled rows with their group's quartiles and whether they lie within its fences; the second pass of a box plot."""
+    rows, box = label_zone_groups(reliability, groups), zone_group_quartiles(reliability, groups)
+    reach = FENCE * (F.col("q3") - F.col("q1")) + _NEAR
+    inside = F.col("share_long_trips").between(F.col("q1") - reach, F.col("q3") + reach)
+    return rows.join(box, "zone_group").withColumn("inside", inside)
+
+
+def zone_group_boxes(reliability: DataFrame, groups: Mapping[str, Iterable[int]] = ZONE_GROUPS) -> DataFrame:
+    """Box plot per zone group: quartiles, whiskers (the last values within the fences) and the number of outliers."""
+    inside = F.when(F.col("inside"), F.col("share_long_trips"))
+    return (
+        _beside_fences(reliability, groups)
+        .groupBy("zone_group", "q1", "median", "q3")
+        .agg(
+            F.min(inside).alias("whisker_low"),
+            F.max(inside).alias("whisker_high"),
+            F.count_if(~F.col("inside")).alias("outliers"),
+        )
+    )
+
+
+def zone_group_outliers(reliability: DataFrame, groups: Mapping[str, Iterable[int]] = ZONE_GROUPS) -> DataFrame:
+    """The rows beyond their group's fences."""
+    return _beside_fences(reliability, groups).filter("NOT inside").select("zone_group", *reliability.columns)
+
+
+def duration_rank_test(
+    trips: DataFrame, work: Workspace, first: str = "Airport", second: str = "Midtown", groups: Mapping[str, Iterable[int]] = ZONE_GROUPS
+) -> DataFrame:
+    """Whether usable trips from one zone group last longer than those from another; see ``rank_test``."""
+    rows = trips.filter(usable()).select(zone_group("pu_location_id", groups).alias("zone_group"), "trip_duration_sec")
+    return rank_test(rows, "zone_group", "trip_duration_sec", first, second, work)

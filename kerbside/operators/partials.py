@@ -19,6 +19,9 @@ from kerbside.operators import marts
 
 _DURATION = "trip_duration_sec double, n bigint"
 _MONTH = "service_type string, year int, month int"
+# Size of a quantile sketch, and the rank error it stays within (five standard errors of one rank).
+SKETCH_SIZE = 400
+RANK_ERROR = 0.02
 
 
 def duration_counts(trips: DataFrame, more: Sequence[str] = ()) -> DataFrame:
@@ -61,6 +64,41 @@ def reliability_counts(trips: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def duration_sketches(trips: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """A quantile sketch of valid trips' durations per service and pickup month: a few KB however many trips.
+
+    For values without a small bound; whole seconds are counted exactly by ``duration_counts``.
+    """
+    return trips.filter("valid_time").groupBy("service_type", "year", "month", *more).agg(
+        F.kll_sketch_agg_double("trip_duration_sec", SKETCH_SIZE).alias("sketch")
+    )
+
+
+def sketched_quantiles(sketches: DataFrame, keys: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """``keys``, share and the approximate quantile at it, from merged sketches; the rank is off by ``RANK_ERROR`` at most."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", SKETCH_SIZE).alias("sketch"))
+    found = [
+        F.struct(F.lit(share).alias("share"), F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias("quantile"))
+        for share in shares
+    ]
+    return merged.select(*keys, F.inline(F.array(*found)))
+
+
+def rank_errors(quantiles: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The quantiles with ``rank_error``: how far their share lies outside the exact ranks of their value.
+
+    ``counts`` has one row per ``keys`` and duration. A value's exact ranks reach from the
+    share of smaller values to the share of values up to it.
+    """
+    value, n = F.col("trip_duration_sec"), F.col("n")
+    ranked = quantiles.join(counts, list(keys)).groupBy(*keys, "share", "quantile").agg(
+        (F.sum(F.when(value < F.col("quantile"), n).otherwise(0)) / F.sum(n)).alias("low"),
+        (F.sum(F.when(value <= F.col("quantile"), n).otherwise(0)) / F.sum(n)).alias("high"),
+    )
+    gap = F.greatest(F.col("low") - F.col("share"), F.col("share") - F.col("high"), F.lit(0.0))
+    return ranked.select(*keys, "share", "quantile", gap.alias("rank_error"))
+
+
 def merged_demand(counts: DataFrame) -> DataFrame:
     """``marts.zone_hour_demand`` from stored counts."""
     keys = ["service_type", "zone_id", "ts_hour", "trip_duration_sec"]
@@ -109,6 +147,7 @@ PARTIALS = {
     ),
     "duration_counts": Partial(duration_counts, f"{_MONTH}, {_DURATION}"),
     "zone_sets": Partial(zone_sets, f"{_MONTH}, bucket bigint, zones binary"),
+    "duration_sketches": Partial(duration_sketches, f"{_MONTH}, sketch binary"),
     "reliability_counts": Partial(
         reliability_counts, "service_type string, zone_id int, hour int, trip_count bigint, long_count bigint"
     ),

@@ -179,6 +179,18 @@ _MONTH_TOTALS = """
   round(sum(total_amount) FILTER (service_type <> 'fhv'), 4) AS amount"""
 
 
+_BOXES = """
+grouped AS (
+  SELECT *, CASE WHEN zone_id IN (132, 138, 1) THEN 'Airport' ELSE 'Midtown' END AS zone_group
+  FROM reliability WHERE zone_id IN (132, 138, 1, 161, 162, 163)),
+boxes AS (
+  SELECT zone_group, quantile_cont(share_long_trips, 0.25) AS q1, quantile_cont(share_long_trips, 0.5) AS "median",
+         quantile_cont(share_long_trips, 0.75) AS q3
+  FROM grouped GROUP BY zone_group),
+beside AS (
+  SELECT *, share_long_trips BETWEEN q1 - 1.5 * (q3 - q1) - 1e-9 AND q3 + 1.5 * (q3 - q1) + 1e-9 AS inside
+  FROM grouped JOIN boxes USING (zone_group))"""
+
 _DELIVERED = ",".join(
     [
         _SHIPPED_RAW,
@@ -338,6 +350,53 @@ FROM monthly WHERE trips > 200""",
   round(round(quantile_cont(share_long_trips, 0.5), 10), 6) AS "median",
   round(round(quantile_cont(share_long_trips, 0.75), 10), 6) AS q3, round(round(max(share_long_trips), 10), 6) AS "max"
 FROM reliability WHERE zone_id IN (132, 138, 1, 161, 162, 163) GROUP BY ALL""",
+        ),
+        "zone_group_boxes": _with(
+            _A,
+            _RELIABILITY,
+            _BOXES,
+            select="""SELECT zone_group, round(round(q1, 10), 6) AS q1, round(round("median", 10), 6) AS "median", round(round(q3, 10), 6) AS q3,
+  round(round(min(share_long_trips) FILTER (inside), 10), 6) AS whisker_low,
+  round(round(max(share_long_trips) FILTER (inside), 10), 6) AS whisker_high, count(*) FILTER (NOT inside) AS outliers
+FROM beside GROUP BY ALL""",
+        ),
+        "zone_group_outliers": _with(
+            _A,
+            _RELIABILITY,
+            _BOXES,
+            select="""SELECT zone_group, service_type, zone_id, hour, trip_count, round(round(share_long_trips, 10), 6) AS share_long_trips
+FROM beside WHERE NOT inside""",
+        ),
+        "airport_rank_test": _with(
+            _A,
+            """
+ranked AS (
+  SELECT trip_duration_sec, pu_location_id IN (132, 138, 1) AS airport,
+         rank() OVER (ORDER BY trip_duration_sec) + (count(*) OVER (PARTITION BY trip_duration_sec) - 1) / 2.0::DOUBLE AS midrank,
+         count(*) OVER (PARTITION BY trip_duration_sec) AS tied
+  FROM trips WHERE valid_time AND valid_locations AND pu_location_id IN (132, 138, 1, 161, 162, 163)),
+sums AS (
+  SELECT count(*) FILTER (airport) AS n1, count(*) FILTER (NOT airport) AS n2, sum(midrank) FILTER (airport) AS r1,
+         sum(tied::DOUBLE * tied - 1) AS ties, count(*)::DOUBLE AS n
+  FROM ranked),
+tested AS (
+  SELECT *, r1 - n1 * (n1 + 1) / 2.0::DOUBLE AS u,
+         sqrt(n1::DOUBLE * n2 / 12 * (n + 1 - ties / (n * (n - 1)))) AS spread FROM sums),
+scored AS (SELECT *, (u - n1::DOUBLE * n2 / 2) / spread AS z, 1 / (1 + 0.3275911 * abs((u - n1::DOUBLE * n2 / 2) / spread) / sqrt(2)) AS t FROM tested)""",
+            select="""SELECT n1 AS n_first, n2 AS n_second, round(round(u, 10), 6) AS u, round(round(u / (n1::DOUBLE * n2), 10), 6) AS superiority,
+  round(round(z, 10), 6) AS z, round(round((0.254829592 * t - 0.284496736 * t ** 2 + 1.421413741 * t ** 3 - 1.453152027 * t ** 4
+    + 1.061405429 * t ** 5) * exp(-z * z / 2), 10), 6) AS p FROM scored""",
+        ),
+        "sized_subset": _with(
+            _A,
+            """
+placed AS (
+  SELECT *, ('0x' || substr(md5(concat_ws('|', service_type, strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'),
+           strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), pu_location_id, do_location_id)), 1, 6))::BIGINT AS place,
+         86 + strlen(service_type) AS bytes FROM trips),
+reached AS (SELECT place, sum(sum(bytes)) OVER (ORDER BY place) AS upto FROM placed GROUP BY place)""",
+            select=f"""SELECT {_TRIP_COLUMNS} FROM placed
+WHERE place < (SELECT coalesce(min(place), 16777216) FROM reached WHERE upto > 250000)""",
         ),
         "top_zones": _with(
             _A,
@@ -416,6 +475,17 @@ FROM trips GROUP BY service_type, year, month""",
             select="""SELECT service_type, year, CAST(quarter(pickup_datetime) AS INTEGER) AS quarter,
   count(DISTINCT pu_location_id) AS unique_pu_zones
 FROM trips WHERE valid_time GROUP BY ALL""",
+        ),
+        "sketched_durations": _with(
+            _DELIVERED,
+            select="""SELECT service_type, year, CAST(share AS DOUBLE) AS share, true AS within_bound
+FROM (SELECT DISTINCT service_type, year FROM trips WHERE valid_time) AS years, (VALUES (0.5), (0.95)) AS s(share)""",
+        ),
+        "recode_proof": _with(
+            _B,
+            select="""SELECT service_type, year, month, rows AS rows_before, rows AS rows_after, equal, equal AS adopted
+FROM (SELECT service_type, year, month, count(*) AS rows, NOT (service_type = 'green' AND year = 1997 AND month = 3) AS equal
+      FROM trips GROUP BY service_type, year, month) AS months""",
         ),
         "reencoded": _with(
             _B, select=f"SELECT {_MONTH_TOTALS} FROM trips GROUP BY service_type, year, month"
@@ -531,6 +601,27 @@ ORDER BY ts_hour, service_type""",
             select=f"""SELECT service_type, zone_id, ts_hour, pickups, lag_1, lag_23, lag_24, lag_168, label
 FROM built WHERE {_TEST}""",
         ),
+        "gbt_replayed": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _DENSE,
+            _DENSE_FEATURES,
+            select=f"SELECT service_type, zone_id, ts_hour, true AS agrees FROM built WHERE {_TEST}",
+        ),
+        "gbt_sample": _with(
+            _A,
+            _DEMAND,
+            _BUSIEST_50,
+            _DENSE,
+            _DENSE_FEATURES,
+            select=f"""SELECT service_type, zone_id, ts_hour, label FROM built WHERE {_TEST}
+ORDER BY md5(concat_ws('|', service_type, zone_id, strftime(ts_hour, '%Y-%m-%d %H'))), service_type, zone_id, ts_hour LIMIT 500""",
+        ),
+        "gbt_metrics_again": "SELECT 'gbt_cv' AS model, true AS mae_agrees, true AS rmse_agrees",
+        "cv_grid_points": """SELECT max_depth, max_iter, true AS judged
+FROM (SELECT unnest([3, 5]) AS max_depth) AS depths, (SELECT unnest([20, 50]) AS max_iter) AS rounds""",
+        "importance_total": "SELECT 8::BIGINT AS features, 1.0::DOUBLE AS total, true AS none_negative",
         "dense_baselines": _with(
             _A,
             _DEMAND,

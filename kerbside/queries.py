@@ -16,8 +16,8 @@ from kerbside.operators import features, forecast, harmonise, insights, marts, p
 from kerbside.plans import increments
 from kerbside.plans.forecasting import ForecastRun, fit_and_score
 from kerbside.plans.layers import load_trips
-from kerbside.plans.recode import MONTH_FOLDERS, recode_months, write_months
-from kerbside.plans.subset import keep_busiest_zones, load_subset, make_subset
+from kerbside.plans.recode import MONTH_FOLDERS, adopt_proven, recode_months, write_months
+from kerbside.plans.subset import keep_busiest_zones, load_subset, make_sized_subset, make_subset
 from kerbside.session import Workspace, pin_timezone, remove_path
 from kerbside.settings import AIRPORT_ZONES, END_MONTH, MIDTOWN_ZONES, SERVICES, START_MONTH, Lake
 from kerbside.sources import months as M
@@ -33,6 +33,9 @@ SUBSET = {"service": "green", "year": 2024, "month": 12, "zones": 3}
 RAW_RANGE = ("1994-01", "2002-12")
 LAGS_WITH_SEASONAL = (1, 23, 24, 168)
 SUBSET_MONTH = {"month": "1995-06", "service": "green"}
+SAMPLE_BYTES = 250_000
+SAMPLE_ROWS = 500
+DAMAGED = ("green", 1997, 3)
 DENSE_MONTHS = ("2024-12", "2025-01")
 # What the second delivery of monthly files brings: months from here on, these months corrected, those withdrawn.
 LATE_FROM, CORRECTED, WITHDRAWN = 2001, ("green", 1996), ("fhv", 1998)
@@ -224,6 +227,22 @@ def zone_group_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.zone_group_quartiles(_reliability(spark, sf_dir))
 
 
+@query
+def zone_group_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.zone_group_boxes(_reliability(spark, sf_dir))
+
+
+@query
+def zone_group_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return insights.zone_group_outliers(_reliability(spark, sf_dir))
+
+
+@query
+def airport_rank_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether trips from airports last longer than those from Midtown."""
+    return insights.duration_rank_test(proxies.event_trips(spark, sf_dir), run_over(spark, sf_dir).work)
+
+
 @query
 def top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.top_zones(_demand(spark, sf_dir), TOP_ZONES)
@@ -239,6 +258,13 @@ def subset_top_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_busiest_zones(proxies.event_trips(spark, sf_dir).filter(chosen), SUBSET["zones"])
 
 
+@query
+def sized_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored sample of a given size."""
+    lake = Lake(raw="", out=run_over(spark, sf_dir).work.path("sized"))
+    return make_sized_subset(spark, lake, proxies.event_trips(spark, sf_dir), SAMPLE_BYTES)
+
+
 # Monthly files
 
 
@@ -371,6 +397,19 @@ def reencoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_totals(trips)
 
 
+@query
+def recode_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Re-encoded months, one of them damaged before the proof: which are equal, and which were adopted."""
+    source, work = _raw_months(spark, sf_dir), run_over(spark, sf_dir).work
+    staged = recode_months(spark, source, work.path("staged"), "snappy", SERVICES, *RAW_RANGE)
+    path = staged.month_path(*DAMAGED)
+    rows = work.store(spark.read.parquet(path).withColumn("fare_amount", F.col("fare_amount") + 1), "damaged")
+    rows.write.mode("overwrite").parquet(path)
+    adopted, proof = adopt_proven(spark, source, staged, work.path("adopted"), SERVICES, *RAW_RANGE)
+    landed = M.month_report(spark, M.probe_months(spark, adopted, SERVICES, *RAW_RANGE))
+    return proof.join(landed, ["service_type", "year", "month"]).withColumnRenamed("landed", "adopted")
+
+
 @query
 def subset_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored subset of one landed month: written by the job, read back by the loader."""
@@ -461,6 +500,17 @@ def zones_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partials.zones_by_quarter(increments.read_partial(spark, _deliveries(spark, sf_dir)[0], "zone_sets"))
 
 
+@query
+def sketched_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether yearly quantiles from merged monthly sketches keep their bound on the rank error."""
+    lake, _ = _deliveries(spark, sf_dir)
+    keys = ["service_type", "year"]
+    quantiles = partials.sketched_quantiles(increments.read_partial(spark, lake, "duration_sketches"), keys, (0.5, 0.95))
+    counts = increments.read_partial(spark, lake, "duration_counts")
+    found = partials.rank_errors(quantiles, counts, keys)
+    return found.select(*keys, "share", (F.col("rank_error") <= partials.RANK_ERROR).alias("within_bound"))
+
+
 # Features
 
 
@@ -618,3 +668,49 @@ def gbt_zone_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def feature_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(spark, sf_dir).importances
+
+
+@query
+def cv_grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters of the searched grid, and whether each has a mean error."""
+    table = forecast.cross_validation_table(spark, _fitted(spark, sf_dir).model)
+    return table.select("max_depth", "max_iter", (F.col("avg_rmse") > 0).alias("judged"))
+
+
+@query
+def importance_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _fitted(spark, sf_dir).importances
+    return found.agg(F.count("*").alias("features"), F.sum("importance").alias("total"), (F.min("importance") >= 0).alias("none_negative"))
+
+
+@query
+def gbt_metrics_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's reported errors against those of its stored predictions, added up in another way."""
+    run = _fitted(spark, sf_dir)
+    gap = F.abs(F.col("label") - F.col("prediction"))
+    again = run.predictions.agg(
+        F.lit("gbt_cv").alias("model"),
+        F.round(F.sum(gap) / F.count("label"), 4).alias("mae_again"),
+        F.round(F.sqrt((F.var_pop(gap) + F.avg(gap) * F.avg(gap))), 4).alias("rmse_again"),
+    )
+    both = run.metrics.join(again, "model")
+    return both.select(
+        "model",
+        (F.abs(F.col("mae") - F.col("mae_again")) < 2e-4).alias("mae_agrees"),
+        (F.abs(F.col("rmse") - F.col("rmse_again")) < 2e-4).alias("rmse_agrees"),
+    )
+
+
+@query
+def gbt_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored prediction against the exported trees, scored as one expression."""
+    run = _fitted(spark, sf_dir)
+    again = forecast.tree_prediction(*forecast.exported_trees(run.model))
+    same = F.abs(again - F.col("prediction")) < 1e-6
+    return run.predictions.select(*forecast.ROW_KEY, same.alias("agrees"))
+
+
+@query
+def gbt_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prediction sample's rows: so many, by the digest of their keys."""
+    return forecast.prediction_table(_fitted(spark, sf_dir).predictions, SAMPLE_ROWS).select(*forecast.ROW_KEY, "label")

@@ -121,3 +121,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def store_scheme(spark: SparkSession, path: str) -> str:
     """Scheme of the store that holds a path, the default one's where the path names none."""
     return _store(spark, path)[1].getUri().getScheme()
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put a file or folder in the place of another one of the same store."""
+    start, store = _store(spark, source)
+    end, _ = _store(spark, target)
+    store.delete(end, True)
+    store.mkdirs(end.getParent())
+    if not store.rename(start, end):
+        raise OSError(f"could not move {source} to {target}")

@@ -14,6 +14,7 @@ TOP_ZONES = 50
 SUBSET_ZONES = 30
 SUBSET_MONTH = "2022-06"
 SUBSET_SERVICE = "green"
+SUBSET_BYTES = 10_000_000
 TRAIN_END = "2024-12"
 TEST_START = "2025-01"
 SEED = 128

@@ -189,8 +189,7 @@ def load_service_raw(
     spark: SparkSession, lake: Lake, service: str, start: str = START_MONTH, end: str = END_MONTH
 ) -> DataFrame | None:
     """All raw columns of one service's months in one frame; None when no month exists."""
-    variants = scan_variants(spark, probe_months(spark, lake, [service], start, end))
-    return union_aligned(variants) if variants else None
+    return load_all_raw(spark, lake, [service], start, end).get(service)
 
 
 def load_all_raw(
@@ -200,9 +199,11 @@ def load_all_raw(
     start: str = START_MONTH,
     end: str = END_MONTH,
 ) -> dict[str, DataFrame]:
-    """Raw frames by service, services without files left out."""
-    loaded = {s: load_service_raw(spark, lake, s, start, end) for s in services}
-    return {service: frame for service, frame in loaded.items() if frame is not None}
+    """Raw frames by service, services without files left out; one listing for all."""
+    services = list(services)
+    months = probe_months(spark, lake, services, start, end)
+    scans = {s: scan_variants(spark, [m for m in months if m.service == s]) for s in services}
+    return {service: union_aligned(variants) for service, variants in scans.items() if variants}
 
 
 def probe_schema(spark: SparkSession, path: str, rows: int = 3) -> tuple[T.StructType, DataFrame] | None:

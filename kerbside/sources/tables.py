@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kerbside.schema import TRIP_COLUMNS, TRIP_SCHEMA
 
@@ -34,3 +35,9 @@ def save_parquet(
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """Stored trips in canonical column order and types."""
     return spark.read.schema(TRIP_SCHEMA).parquet(path).select(TRIP_COLUMNS)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a table's files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0] or 0

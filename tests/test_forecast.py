@@ -137,3 +137,20 @@ def test_forward_validation_searches_the_grid(spark):
     with pytest.raises(ValueError, match="too few hours"):
         G.forward_validate(rows.limit(1), (1,), (2,))
     rows.unpersist()
+
+
+def test_exported_trees_predict_like_the_model(spark, fitted):
+    _, test, run = fitted
+    weights, nodes = G.exported_trees(run.model)
+    assert len(weights) == 2 and G.tree_table(spark, nodes).count() == len(nodes) == sum(t.numNodes for t in run.model.bestModel.stages[-1].trees)
+    again = run.predictions.withColumn("again", G.tree_prediction(weights, nodes))
+    assert again.filter("abs(again - prediction) > 1e-9").count() == 0 and again.count() == test.count()
+    assert "Python" not in again._jdf.queryExecution().executedPlan().toString()
+
+
+def test_trees_of_one_leaf(spark):
+    table = demand(spark, [("yellow", 1, h, 5) for h in range(400)])
+    model = G.build_pipeline().fit(X.forecast_features(table))
+    weights, nodes = G.exported_trees(model)
+    assert {n.node for n in nodes} == {0}
+    assert spark.range(1).select(G.tree_prediction(weights, nodes)).first()[0] == pytest.approx(5.0)

@@ -174,3 +174,13 @@ def test_reading_a_table_never_kept(spark, tmp_path):
     assert table.manifest(spark).count() == 0 and table.read(spark, "a int").count() == 0
     with pytest.raises(FileNotFoundError):
         table.read(spark)
+
+
+def test_sketches_stay_within_their_rank_error(spark):
+    trips = spark.range(60_000).selectExpr(
+        "'a' AS service_type", "2024 AS year", "CAST(id % 12 + 1 AS INT) AS month", "true AS valid_time",
+        "CAST(floor(14400 * pow(pmod(xxhash64(id), 10007) / 10007.0, 2)) AS DOUBLE) AS trip_duration_sec",
+    )
+    quantiles = partials.sketched_quantiles(partials.duration_sketches(trips), ["service_type"], (0.05, 0.5, 0.95))
+    found = partials.rank_errors(quantiles, partials.duration_counts(trips), ["service_type"]).collect()
+    assert {r.share for r in found} == {0.05, 0.5, 0.95} and all(r.rank_error <= partials.RANK_ERROR for r in found)

@@ -1,8 +1,13 @@
 """Every registered query against its SQL twin, at the scale the correctness gate uses."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
+from kerbside.queries import all_queries
 from tests.compare import assert_same, duckdb_over
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -35,3 +40,11 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.count() == 876
     assert result.columns[:4] == ["service_type", "zone_id", "ts_hour", "pickups"]
+
+
+@pytest.mark.parametrize("blocked", ["ahocorasick", "zstandard", "public_tokenizers", "corpus_pipeline", "kerbside.llm"])
+def test_trip_queries_do_without_what_only_the_others_need(blocked):
+    code = f"import sys; sys.modules[{blocked!r}] = None; import __spark_entry__ as e; print(*sorted(e.queries()))"
+    root = Path(contract.__file__).parent
+    found = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert found.stdout.split() == sorted(all_queries())
