@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.session import Workspace, move_path, scratch_path
+from kerbside.session import Workspace, move_path
 from kerbside.settings import END_MONTH, SERVICES, START_MONTH, Lake
 from kerbside.sources.months import Month, probe_months, scan_variants, union_aligned
 from kerbside.sources.tables import save_parquet
@@ -125,7 +125,7 @@ def recode_proven(
     start: str = START_MONTH,
     end: str = END_MONTH,
 ) -> tuple[Lake, DataFrame]:
-    """``recode_months`` into a staging folder, then ``adopt_proven``."""
+    """``recode_months`` into a folder beside ``target``, then ``adopt_proven``; refused months stay in that folder."""
     services = list(services)
-    staged = recode_months(spark, lake, scratch_path(spark, "recode"), compression, services, start, end)
+    staged = recode_months(spark, lake, f"{target.rstrip('/')}_staged", compression, services, start, end)
     return adopt_proven(spark, lake, staged, target, services, start, end)

@@ -7,6 +7,7 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,7 @@ class Workspace:
         self.spark = spark
         self.root = scratch_path(spark, name)
         self._tables = 0
+        self._paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
         _open_workspaces.add(self)
 
     def path(self, name: str) -> str:
@@ -82,7 +84,14 @@ class Workspace:
             df.write.options(**options).parquet(path)
         finally:
             self.spark.conf.set(_SHUFFLE_CLEANUP, before)
-        return self.spark.read.schema(df.schema).parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[stored] = path
+        return stored
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove stored tables that nothing reads any more; each as ``store`` returned it."""
+        for table in tables:
+            remove_path(self.spark, self._paths.pop(table))
 
     def close(self) -> None:
         """Remove the folder and everything in it."""
