@@ -94,7 +94,7 @@ def update_partials(
             trips = read_kept_trips(spark, lake, "src_year", "src_month").filter(in_months(changed))
             return partials.PARTIALS[name].build(trips, ["src_year", "src_month"])
 
-        return kept_partial(lake, name).update(spark, wanted, build)
+        return kept_partial(lake, name).update(spark, wanted, build, rebalance=True)
 
     names = list(names)
     with ThreadPoolExecutor(len(names) or 1) as pool:

@@ -87,13 +87,15 @@ class KeptTable:
         return reader.parquet(self.root)
 
     def update(
-        self, spark: SparkSession, wanted: DataFrame, build: Callable[[list[Month]], DataFrame]
+        self, spark: SparkSession, wanted: DataFrame, build: Callable[[list[Month]], DataFrame], rebalance: bool = False
     ) -> list[tuple[str, int, int, str]]:
         """Bring the table to ``wanted`` (month keys, ``made_from``, facts to note) and return what changed.
 
         ``build`` gives the rows of the months it is asked for, with the month keys.
         ``made_from`` is text that differs when the month's source does. A folder that no
         manifest names, left by a run that ended half-way, goes too when nothing wants it.
+        ``rebalance`` gathers a month's rows into few files; rows read from monthly files
+        already come that way.
         """
         run, kept = self._last_run(spark), self.manifest(spark)
         changed = [tuple(row) for row in manifest_changes(kept, wanted).collect()]
@@ -102,7 +104,8 @@ class KeptTable:
         for service, year, month in gone | self._strays(spark, wanted):
             remove_path(spark, f"{self.root}/service_type={service}/src_year={year}/src_month={month}")
         if written:
-            save_parquet(build([tuple(key) for key in written]), self.root, MONTH_KEYS, partitionOverwriteMode="dynamic")
+            rows = build([tuple(key) for key in written])
+            save_parquet(rows, self.root, MONTH_KEYS, rebalance=rebalance, partitionOverwriteMode="dynamic")
         if changed:
             old = kept.select(*MONTH_KEYS, F.col("written_in").alias("old"))
             now = F.when(in_months(written), run + 1).otherwise(F.col("old")) if written else F.col("old")
