@@ -37,6 +37,8 @@ from kerbside.session import Workspace
 EXCESS_FROM, EXCESS_MOST = 2.0, 4.0
 # Labelled rows that the curve's few weights are fitted on, over both classes.
 CURVE_ROWS = 6_000
+# Labelled ids, 16 bytes each, that are broadcast at most.
+BROADCAST_MARKS = 1_000_000
 DISCOUNT = 0.75
 # Lengths of the stems a word backs off to.
 STEM_BYTES = (6, 5, 4)
@@ -233,7 +235,14 @@ class WordCounts:
     work: Workspace
 
     def shards(self, n: int) -> DataFrame:
-        return self.words.withColumn("shard", F.pmod(F.col(_STEMS[-1]), F.lit(n)))
+        """The words with their shard: ranges of the shortest stem's hash, as ``shard_of`` deals them."""
+        high = F.shiftrightunsigned(F.col(_STEMS[-1]), 32)
+        return self.words.withColumn("shard", F.shiftrightunsigned(high * F.lit(n), 32))
+
+
+def shard_of(stems: np.ndarray, n: int) -> np.ndarray:
+    """Shard of each hash, ascending with the hash."""
+    return ((stems >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -307,6 +316,15 @@ def count_words(labelled: DataFrame, work: Workspace) -> WordCounts:
     return WordCounts(words, sizes, work)
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """32-bit numbers, all lowest bytes first: the higher ones are much alike and pack well."""
+    return np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
     """What rows (carried, text) carry, with mean, middle and excess of their words' ratios."""
     work, carried_type = counts.work, rows.schema["carried"].dataType.simpleString()
@@ -319,11 +337,16 @@ def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
                 hashes, per_text = word_hashes(data)
                 _, first, code = np.unique(hashes, return_index=True, return_inverse=True)
                 words = b" ".join(data).split()
-                asked = b" ".join(words[i] for i in first.tolist())
+                # In the order of shards, however many there will be: a shard's answers are one run of them.
+                by_shard = np.argsort(word_hashes([b" ".join(words[i] for i in first.tolist())], STEM_BYTES[-1])[0], kind="stable")
+                rank = np.empty(len(first), dtype=np.int64)
+                rank[by_shard] = np.arange(len(first))
+                code = rank[code] if len(first) else code
+                asked = b" ".join(words[i] for i in first[by_shard].tolist())
                 columns = [
                     pa.array([block]), pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("carried")),
                     *[pa.array([x], pa.binary()) for x in (
-                        compress(per_text.astype(np.int64).tobytes()), compress(code.astype(np.int32).tobytes()), compress(asked)
+                        compress(per_text.astype(np.int64).tobytes()), compress(_planes(code)), compress(asked)
                     )], pa.array([len(asked)], pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "carried", "per_text", "codes", "words", "n_bytes"])
@@ -339,13 +362,11 @@ def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("words").to_pylist(), strict=True):
                 data = zstandard.ZstdDecompressor().decompress(packed)
                 words = data.split()
-                shard = word_hashes([data], most_bytes=STEM_BYTES[-1])[0].view(np.int64) % shards
-                order = np.argsort(shard, kind="stable")
-                parts = np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []
+                shard = shard_of(word_hashes([data], most_bytes=STEM_BYTES[-1])[0], shards)
+                edges = np.concatenate([[0], np.flatnonzero(np.diff(shard)) + 1, [len(shard)]]).tolist()
                 found = [
-                    {"block": block, "shard": int(shard[part[0]]), "at": part.astype(np.int32).tobytes(),
-                     "words": b" ".join([words[i] for i in part.tolist()])}
-                    for part in parts
+                    {"block": block, "shard": int(shard[low]), "start": low, "words": b" ".join(words[low:high])}
+                    for low, high in zip(edges[:-1], edges[1:], strict=True) if high > low
                 ]
                 if found:
                     yield pa.RecordBatch.from_pylist(found, ASKED)
@@ -359,32 +380,34 @@ def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
         for batch in asked.combine_chunks().to_batches():
             for part in slices(batch, "words", BATCH_CHARS):
                 found = _cut(part.column("words").to_pylist())
-                answers += [x.tobytes() for x in np.split(ratios.of_words(found), np.cumsum(found.per_text)[:-1])]
-        return pa.Table.from_arrays([asked.column("block"), asked.column("at"), pa.array(answers, pa.binary())], schema=ANSWERED)
+                known = ratios.of_words(found).astype(np.float32)
+                answers += [x.tobytes() for x in np.split(known, np.cumsum(found.per_text)[:-1])]
+        return pa.Table.from_arrays([asked.column("block"), asked.column("start"), pa.array(answers, pa.binary())], schema=ANSWERED)
 
     def finish(block: pa.Table, told: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
-        per_text, codes = [
-            np.frombuffer(unpack(block.column(name)[0].as_py()), dtype=dtype)
-            for name, dtype in (("per_text", np.int64), ("codes", np.int32))
-        ]
+        per_text = np.frombuffer(unpack(block.column("per_text")[0].as_py()), dtype=np.int64)
+        codes = _from_planes(unpack(block.column("codes")[0].as_py()))
         ratio = np.zeros(int(codes.max(initial=-1)) + 1)
-        for at, ratios in zip(told.column("at"), told.column("ratios"), strict=True):
-            ratio[np.frombuffer(at.as_py(), dtype=np.int32)] = np.frombuffer(ratios.as_py(), dtype=np.float64)
+        for start, ratios in zip(told.column("start").to_pylist(), told.column("ratios"), strict=True):
+            known = np.frombuffer(ratios.as_py(), dtype=np.float32)
+            ratio[start : start + len(known)] = known
         found = evidence(ratio[codes], per_text)
         carried = block.column("carried").combine_chunks().flatten()
         return pa.table([carried, *[pa.array(x) for x in found.T]], names=["carried", "mean", "middle", "excess"])
 
-    ASKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("at", pa.binary()), ("words", pa.binary())])
-    ANSWERED = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("ratios", pa.binary())])
-    asked = blocks.select("block", "words").mapInArrow(ask, "block long, shard long, at binary, words binary")
+    ASKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
+    ANSWERED = pa.schema([("block", pa.int64()), ("start", pa.int64()), ("ratios", pa.binary())])
+    asked = blocks.select("block", "words").mapInArrow(ask, "block long, shard long, start long, words binary")
     answered = work.store(
         asked.groupBy("shard").cogroup(counts.shards(shards).groupBy("shard"))
-        .applyInArrow(answer, "block long, at binary, ratios binary"), "answers",
+        .applyInArrow(answer, "block long, start long, ratios binary"), "answers",
     )
     schema = f"carried {carried_type}, mean double, middle double, excess double"
-    blocks = blocks.select("block", "carried", "per_text", "codes")
-    return blocks.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, schema)
+    # The words have been asked for; what is left of the blocks stands in for them.
+    lean = work.store(blocks.select("block", "carried", "per_text", "codes"), "lean")
+    work.drop(blocks)
+    return lean.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(finish, schema)
 
 
 def fit(labelled: DataFrame, work: Workspace, curve_rows: int = CURVE_ROWS) -> ToxicityModel:
@@ -399,6 +422,7 @@ def fit(labelled: DataFrame, work: Workspace, curve_rows: int = CURVE_ROWS) -> T
     drawn = labelled.filter(for_curve).orderBy(F.xxhash64(F.lit("curve"), "id"), "id").limit(curve_rows)
     drawn = work.store(drawn.select(F.col("toxic").cast("double").alias("carried"), "text"), "curve")
     weighed = with_evidence(drawn, counts).toArrow()
+    work.drop(drawn)
     columns = [weighed.column(name).to_numpy() for name in ("mean", "middle", "excess", "carried")]
     return ToxicityModel(counts, logistic_curve(np.column_stack(columns[:-1]), columns[-1]))
 
@@ -423,8 +447,14 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """id, text, toxic of the rows to learn from: labelled, not held out; ``held_out`` may use column ``id``."""
+    """id, text, toxic of the rows to learn from: labelled, not held out; ``held_out`` may use column ``id``.
+
+    An id that one of its labels calls toxic is toxic. Up to ``BROADCAST_MARKS`` ids go to
+    the documents; beyond that both sides are shuffled, texts with them.
+    """
     marks = labels.select(F.col(f"`{id_col}`").alias("id"), F.col("toxic").cast("int").alias("toxic"))
-    marks = marks.filter(~held_out & F.col("toxic").isin(0, 1)).dropDuplicates(["id"])
+    marks = marks.filter(~held_out & F.col("toxic").isin(0, 1)).groupBy("id").agg(F.max("toxic").alias("toxic"))
+    if marks.count() <= BROADCAST_MARKS:
+        marks = F.broadcast(marks)
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(text_col).alias("text"))
     return texts.join(marks, "id")

@@ -102,3 +102,91 @@ def test_shards_give_the_ratios_of_the_whole():
         for (table, passing), (all_of, all_passing) in zip(part.levels, whole.levels, strict=True):
             there, values = all_of.find(table.keys)
             assert there.all() and np.allclose(values, table.values) and passing == all_passing
+
+
+def test_an_id_with_two_labels_is_toxic_in_any_order(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    marks = [(1, 0), (1, 1), (2, 0), (2, 0)]
+    for order in (marks, marks[::-1]):
+        labels = spark.createDataFrame(order, "doc_id long, toxic int").coalesce(1)
+        rows = toxicity.labelled_rows(docs, labels, F.lit(False)).collect()
+        assert sorted((r.id, r.toxic) for r in rows) == [(1, 1), (2, 0)]
+
+
+def brute_ratios(labelled, asked):
+    """Kneser-Ney by the book over plain strings: what each asked word says."""
+    contexts = [{}, {}]
+    for content, toxic in labelled:
+        words = content.split()
+        for before, word in zip(["", *words], words, strict=False):
+            contexts[toxic].setdefault(word, set()).add(before)
+    vocabulary = {*contexts[0], *contexts[1]}
+
+    def stem(word, level):
+        return word if not level else word.encode()[: toxicity.STEM_BYTES[level - 1]].decode()
+
+    levels = len(toxicity.STEM_BYTES) + 1
+    children = [{} for _ in range(levels)]
+    for word in vocabulary:
+        for level in range(1, levels):
+            children[level].setdefault(stem(word, level), set()).add(stem(word, level - 1))
+    shared = {}
+    for word in vocabulary:
+        shared[stem(word, levels - 1)] = shared.get(stem(word, levels - 1), 0) + 1 / (len(vocabulary) + 1)
+
+    def model(seen):
+        totals = [{w: len(seen.get(w, ())) for w in vocabulary}]
+        for level in range(1, levels):
+            totals.append({s: sum(totals[-1][c] > 0 for c in below) for s, below in children[level].items()})
+        passing = []
+        for counts in totals:
+            total = max(sum(counts.values()), 1)
+            passing.append(max(toxicity.DISCOUNT * sum(c > 0 for c in counts.values()), 1) / total)
+
+        def probability(key, level):
+            if level == levels - 1:
+                lower = shared[key]
+            else:
+                parent = stem(key, level + 1)
+                lower = probability(parent, level + 1) / len(children[level + 1][parent])
+            total = max(sum(totals[level].values()), 1)
+            return max(totals[level][key] - toxicity.DISCOUNT, 0) / total + passing[level] * lower
+
+        return probability, passing, totals
+
+    (ordinary, passing_o, totals), (toxic, passing_t, _) = model(contexts[0]), model(contexts[1])
+    found = []
+    for word in asked:
+        said = 0.0
+        for level in range(levels):
+            if stem(word, level) in totals[level]:
+                said += np.log(toxic(stem(word, level), level) / ordinary(stem(word, level), level))
+                break
+            said += np.log(passing_t[level] / passing_o[level])
+        found.append(said)
+    return np.array(found)
+
+
+def test_counts_and_ratios_by_brute_force(spark):
+    rows = [(prose(i % 25, 3 + i % 30) + (" grobnak grobber" if i % 4 == 0 else " grobbis"), int(i % 4 == 0)) for i in range(60)]
+    asked = [*sorted({w for t, _ in rows for w in t.split()}), "grobzuzu", "lomika", "neverseen"]
+    with Workspace(spark, "t") as work:
+        labelled = spark.createDataFrame(rows, "text string, toxic int").repartition(4)
+        counts = toxicity.count_words(labelled, work)
+        ratios = toxicity.kneser_ney_ratios(*toxicity._arrays(counts.words.toArrow()), counts.sizes)
+        said = ratios.of_words(toxicity.words_in([" ".join(asked)]))
+        assert said == pytest.approx(brute_ratios(rows, asked), abs=1e-9)
+        # Through blocks and shards: the mean of a text's words.
+        docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "carried long, text string")
+        means = {r.carried: r.mean for r in toxicity.with_evidence(docs, counts).collect()}
+        for i, (content, _) in enumerate(rows):
+            assert means[i] == pytest.approx(brute_ratios(rows, content.split()).mean(), abs=1e-5)
+
+
+def test_shards_of_the_model_and_of_the_asked_words_agree(spark):
+    stems = np.random.default_rng(5).integers(0, 2**64, 500, dtype=np.uint64)
+    rows = spark.createDataFrame([(int(s.astype(np.int64)),) for s in stems], "stem_4 long")
+    for n in (1, 7, 1000):
+        dealt = toxicity.WordCounts(rows, np.zeros(0), None).shards(n).collect()
+        assert [r.shard for r in dealt] == toxicity.shard_of(stems, n).tolist()
+        assert (np.diff(toxicity.shard_of(np.sort(stems), n)) >= 0).all() and max(r.shard for r in dealt) < n
