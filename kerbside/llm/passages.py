@@ -22,7 +22,7 @@ and shards follows the input, so their sizes do not.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,16 +49,17 @@ PIECE_SCHEMA = "block long, shard long, payload binary"
 
 @dataclass(frozen=True)
 class Pieces:
-    """Runs of windows with one anchor, in order; places count units over all texts of a block."""
+    """Runs of windows with one anchor, in order; places count units over all texts of a block, ``within`` in its own."""
 
     start: np.ndarray
+    within: np.ndarray
     windows: np.ndarray
     anchor: np.ndarray
     key: np.ndarray
     text: np.ndarray
 
     def only(self, chosen: np.ndarray) -> Pieces:
-        return Pieces(*[getattr(self, f)[chosen] for f in ("start", "windows", "anchor", "key", "text")])
+        return Pieces(*[getattr(self, f)[chosen] for f in ("start", "within", "windows", "anchor", "key", "text")])
 
 
 @dataclass(frozen=True)
@@ -84,12 +85,12 @@ class Kind:
         text = np.repeat(np.arange(len(per_text), dtype=np.int32), per_text)
         left = ends[text] - np.arange(len(text))
         hashes = np.where(left >= self.anchor, hashes, np.uint64(2**64 - 1))
-        least, offset, span = hashes.copy(), np.zeros(len(hashes), dtype=np.int16), 1
+        least, offset, span = hashes.copy(), np.zeros(len(hashes), dtype=np.int8), 1
         while span < choices:
             step = min(span, choices - span)
             better = least[step:] < least[:-step]
-            offset[:-step] = np.where(better, offset[step:] + np.int16(step), offset[:-step])
-            least[:-step] = np.where(better, least[step:], least[:-step])
+            np.copyto(offset[:-step], offset[step:] + np.int8(step), where=better)
+            np.minimum(least[:-step], least[step:], out=least[:-step])
             span += step
         whole = np.flatnonzero(left >= self.window)
         place = whole + offset[whole]
@@ -98,7 +99,8 @@ class Kind:
         first = np.flatnonzero(new)
         start = whole[first]
         windows = np.diff(np.append(first, len(whole)))
-        return Pieces(start, windows, place[first] - start, hashes[place[first]], text[start])
+        within = start - (ends - per_text)[text[start]]
+        return Pieces(start, within, windows, place[first] - start, hashes[place[first]], text[start])
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -176,7 +178,7 @@ def store_blocks(docs: DataFrame, work: Workspace, kind: Kind, id_col: str, text
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(text_col).alias("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, compressor = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1)
+        block, compressor = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
         for whole in batches:
             for batch in slices(whole, "text", BLOCK_CHARS):
                 ids = batch.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
@@ -268,31 +270,39 @@ def low_half(key: np.ndarray) -> np.ndarray:
     return key.astype(np.uint32)
 
 
-_COLUMNS = (("slot", np.int32), ("anchor", np.int32), ("size", np.int32), ("key", np.uint64), ("least", np.int64), ("most", np.int64))
+_COLUMNS = ("slot", "anchor", "size", "least", "spread")
 
 
-def packed_pieces(columns: dict[str, np.ndarray], content: np.ndarray) -> bytes:
-    parts = [packed(columns[name].astype(dtype)) for name, dtype in _COLUMNS]
-    head = np.array([len(columns["slot"])], dtype=np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *parts, packed(content)]))
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Steps from value to value, byte by byte: first all lowest bytes, then the next ones, which are mostly alike."""
+    return np.diff(values.astype(np.int64), prepend=0).view(np.uint8).reshape(-1, 8).T
 
 
-def unpacked_pieces(payload: bytes) -> tuple[dict[str, np.ndarray], bytes]:
-    data, at, columns = zstandard.ZstdDecompressor().decompress(payload), 8, {}
+def _from_planes(data: bytes, n: int, offset: int) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8, count=8 * n, offset=offset).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+
+def packed_columns(columns: Sequence[np.ndarray], content: np.ndarray | None = None) -> bytes:
+    """Columns of whole numbers, as many of each, and bytes after them."""
+    head = np.array([len(columns[0])], dtype=np.int64)
+    parts = [head, *map(_planes, columns), *([] if content is None else [content])]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(packed(p) for p in parts))
+
+
+def unpacked_columns(payload: bytes, count: int) -> tuple[list[np.ndarray], bytes]:
+    data = zstandard.ZstdDecompressor().decompress(payload)
     n = int(np.frombuffer(data, dtype=np.int64, count=1)[0])
-    for name, dtype in _COLUMNS:
-        columns[name] = np.frombuffer(data, dtype=dtype, count=n, offset=at)
-        at += columns[name].nbytes
-    return columns, data[at:]
+    return [_from_planes(data, n, 8 + 8 * n * i) for i in range(count)], data[8 + 8 * n * count :]
 
 
 def cut_pieces(blocks: DataFrame, anchors: DataFrame, work: Workspace, kind: Kind) -> DataFrame:
     """The folded pieces of each block, packed by shard, and in shard -1 where the block holds them.
 
     That row's payload is (slot, text, first window in the text, windows) of every
-    place, as int32 columns one after the other. Pieces are about as many bytes
-    as the text at most where a sixth of its windows recur, so shards follow the
-    bytes of the text.
+    place. Pieces are about as many bytes as the text at most where a sixth of its
+    windows recur, so shards follow the bytes of the text. A piece's anchor is part of
+    its content, so its hash stays behind.
     """
     buckets = np.uint64(_parts(blocks, kind.per_byte / BUCKET_ANCHORS))
     shards = np.uint64(_parts(blocks, 1 / SHARD_BYTES))
@@ -316,21 +326,19 @@ def cut_pieces(blocks: DataFrame, anchors: DataFrame, work: Workspace, kind: Kin
         of_doc = ids[pieces.text][order]
         lead = order[first]
         data, offsets = flat(contents.dictionary)
-        columns = {
-            "slot": np.arange(len(first)), "anchor": pieces.anchor[lead], "size": np.diff(offsets), "key": pieces.key[lead],
-            "least": np.minimum.reduceat(of_doc, first), "most": np.maximum.reduceat(of_doc, first),
-        }
-        shard = (mix(columns["key"]) % shards).astype(np.int64)
+        size, least = np.diff(offsets), np.minimum.reduceat(of_doc, first)
+        # The difference may pass 2^63 where a null id is the smallest; it comes back the same.
+        columns = [np.arange(len(first)), pieces.anchor[lead], size, least, np.maximum.reduceat(of_doc, first) - least]
+        shard = (mix(pieces.key[lead]) % shards).astype(np.int64)
         by_shard = np.argsort(shard, kind="stable")
         edges = np.flatnonzero(np.diff(shard[by_shard])) + 1
-        text_start = np.cumsum(kind.cut(texts)[1]) - kind.cut(texts)[1]
-        places = np.stack([slot, pieces.text, pieces.start - text_start[pieces.text], pieces.windows]).astype(np.int32)
+        places = [slot, pieces.text, pieces.within, pieces.windows]
         number = block.column("block")[0].as_py()
-        rows = [{"block": number, "shard": -1, "payload": zstandard.ZstdCompressor(level=1).compress(packed(places))}]
+        rows = [{"block": number, "shard": -1, "payload": packed_columns(places)}]
         for part in np.split(by_shard, edges):
-            chosen = {name: values[part] for name, values in columns.items()}
-            content = data[ragged(offsets[part], chosen["size"])]
-            rows.append({"block": number, "shard": int(shard[part[0]]), "payload": packed_pieces(chosen, content)})
+            content = data[ragged(offsets[part], size[part])]
+            payload = packed_columns([values[part] for values in columns], content)
+            rows.append({"block": number, "shard": int(shard[part[0]]), "payload": payload})
         return pa.Table.from_pylist(rows, schema)
 
     cogrouped = blocks.groupBy("block").cogroup(anchors.groupBy("block"))
@@ -345,9 +353,8 @@ def flat(content: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Variants:
-    """The different pieces of a shard and the smallest id that holds each."""
+    """The different pieces of a shard, where their anchors are in them, and the smallest id that holds each."""
 
-    key: np.ndarray
     anchor: np.ndarray
     content: pa.Array
     owner: np.ndarray
@@ -364,9 +371,10 @@ def owners(pieces: DataFrame, work: Workspace, settle: Callable[[Variants], tupl
     schema = pa.schema([("block", pa.int64()), ("runs", pa.binary())])
 
     def shard(table: pa.Table) -> pa.Table:
-        unpacked = [unpacked_pieces(p.as_py()) for p in table.column("payload")]
-        held = {name: np.concatenate([columns[name] for columns, _ in unpacked]) for name, _ in _COLUMNS}
-        blocks_of = np.repeat(table.column("block").to_numpy(), [len(columns["slot"]) for columns, _ in unpacked])
+        unpacked = [unpacked_columns(p.as_py(), len(_COLUMNS)) for p in table.column("payload")]
+        held = {name: np.concatenate([columns[i] for columns, _ in unpacked]) for i, name in enumerate(_COLUMNS)}
+        held["most"] = held["least"] + held["spread"]
+        blocks_of = np.repeat(table.column("block").to_numpy(), [len(columns[0]) for columns, _ in unpacked])
         offsets = np.concatenate([[0], np.cumsum(held["size"])]).astype(np.int32)
         content = pa.py_buffer(b"".join(data for _, data in unpacked))
         coded = pa.Array.from_buffers(pa.binary(), len(held["slot"]), [None, pa.py_buffer(offsets), content]).dictionary_encode()
@@ -375,7 +383,7 @@ def owners(pieces: DataFrame, work: Workspace, settle: Callable[[Variants], tupl
         first = np.flatnonzero(np.diff(code[order], prepend=-1))
         lead = order[first]
         owner = np.minimum.reduceat(held["least"][order], first)
-        variants = Variants(held["key"][lead], held["anchor"][lead], coded.dictionary, owner)
+        variants = Variants(held["anchor"][lead], coded.dictionary, owner)
         windows, owner = settle(variants)
         starts = np.cumsum(windows) - windows
         variant = np.repeat(np.arange(len(windows)), windows)
@@ -394,11 +402,11 @@ def owners(pieces: DataFrame, work: Workspace, settle: Callable[[Variants], tupl
         row, at = row[wanted], at[wanted]
         block, slot = blocks_of[row], held["slot"][row]
         by_block = np.argsort(block, kind="stable")
-        columns = np.stack([slot, run_from[at], run_end[at], run_owner[at]]).astype(np.int64)[:, by_block]
+        columns = np.stack([slot, run_from[at], run_end[at], run_owner[at]])[:, by_block]
         edges = np.flatnonzero(np.diff(block[by_block])) + 1 if len(by_block) else []
         numbers = block[by_block]
-        parts, compress = np.split(np.arange(len(numbers)), edges), zstandard.ZstdCompressor(level=1).compress
-        rows = [{"block": int(numbers[p[0]]), "runs": compress(packed(columns[:, p]))} for p in parts if len(p)]
+        parts = np.split(np.arange(len(numbers)), edges)
+        rows = [{"block": int(numbers[p[0]]), "runs": packed_columns(columns[:, p])} for p in parts if len(p)]
         return pa.Table.from_pylist(rows, schema)
 
     return work.store(pieces.filter("shard >= 0").groupBy("shard").applyInArrow(shard, "block long, runs binary"), "owners")
@@ -420,13 +428,12 @@ def apply_owners(
     def apply(block: pa.Table, told: pa.Table) -> pa.Table:
         ids, texts = read_block(block)
         nothing = np.zeros(0, dtype=np.int64)
-        unpack = zstandard.ZstdDecompressor()
-        places, runs = np.zeros((4, 0), dtype=np.int32), [np.zeros((4, 0), dtype=np.int64)]
+        places, runs = np.zeros((4, 0), dtype=np.int64), [np.zeros((4, 0), dtype=np.int64)]
         for content, run in zip(told.column("places"), told.column("runs"), strict=True):
             if content.is_valid:
-                places = np.frombuffer(unpack.decompress(content.as_py()), dtype=np.int32).reshape(4, -1)
+                places = np.stack(unpacked_columns(content.as_py(), 4)[0])
             if run.is_valid:
-                runs.append(np.frombuffer(unpack.decompress(run.as_py()), dtype=np.int64).reshape(4, -1))
+                runs.append(np.stack(unpacked_columns(run.as_py(), 4)[0]))
         if not places.shape[1]:
             return finish(ids, texts, (nothing,) * 4)
         slot, run_from, run_end, owner = np.concatenate(runs, axis=1)
@@ -435,7 +442,7 @@ def apply_owners(
         low, high = np.searchsorted(slot, places[0], "left"), np.searchsorted(slot, places[0], "right")
         at, place = ragged(low, high - low), np.repeat(np.arange(places.shape[1]), high - low)
         first = places[2][place]
-        return finish(ids, texts, (places[1][place].astype(np.int64), first + run_from[at], first + run_end[at], owner[at]))
+        return finish(ids, texts, (places[1][place], first + run_from[at], first + run_end[at], owner[at]))
 
     told = pieces.filter("shard = -1").select("block", F.col("payload").alias("places"), F.lit(None).cast("binary").alias("runs"))
     told = told.unionByName(owned.select("block", F.lit(None).cast("binary").alias("places"), "runs"))

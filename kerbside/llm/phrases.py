@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kerbside.llm import passages
-from kerbside.llm.passages import NULL_ID, WORDS, Variants
+from kerbside.llm.passages import NULL_ID, WORD_ANCHOR, WORDS, Variants
 from kerbside.llm.suffix import spans
 from kerbside.session import Workspace
 
@@ -53,7 +53,9 @@ def settle(variants: Variants) -> tuple[np.ndarray, np.ndarray]:
     windows = np.array([len(p) - size + 1 for p in pieces], dtype=np.int64)
     owner = np.repeat(variants.owner, windows)
     starts = np.cumsum(windows) - windows
-    _, anchor = np.unique(variants.key, return_inverse=True)
+    anchors: dict[tuple[int, ...], int] = {}
+    held = [p[at : at + WORD_ANCHOR] for p, at in zip(pieces, variants.anchor.tolist(), strict=True)]
+    anchor = np.array([anchors.setdefault(words, len(anchors)) for words in held], dtype=np.int64)
     searched = np.flatnonzero(np.bincount(anchor)[anchor] > 1).tolist()
     phrases = confirmed([pieces[v] for v in searched])
     if not phrases:
@@ -85,6 +87,7 @@ def kept_words(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text_co
     blocks = passages.store_blocks(docs, work, WORDS, id_col, text_col)
     anchors = passages.recurring_anchors(blocks, work, WORDS)
     pieces = passages.cut_pieces(blocks, anchors, work, WORDS)
+    work.drop(anchors)
     owned = passages.owners(pieces, work, settle, keep_own=True)
 
     def finish(ids: np.ndarray, texts: list[bytes], found: tuple[np.ndarray, ...]) -> pa.Table:

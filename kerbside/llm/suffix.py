@@ -195,6 +195,7 @@ def removed_spans(docs: DataFrame, work: Workspace, id_col: str = "doc_id", text
     blocks = passages.store_blocks(docs, work, BYTES, id_col, text_col)
     anchors = passages.recurring_anchors(blocks, work, BYTES)
     pieces = passages.cut_pieces(blocks, anchors, work, BYTES)
+    work.drop(anchors)
     owned = passages.owners(pieces, work, settle, keep_own=False)
 
     def finish(ids: np.ndarray, texts: list[bytes], found: tuple[np.ndarray, ...]) -> pa.Table:
