@@ -170,7 +170,8 @@ def ordered_rules(
     """
     share = min(1.0, sample_rows / max(docs.count(), 1))
     sample, parts, _ = with_parts(docs.select(F.col(f"`{text_col}`")).sample(fraction=share, seed=7), text_col)
-    sample = sample.coalesce(1).persist()
+    # The scan keeps its tasks; only the sampled rows come together.
+    sample = sample.repartition(1).persist()
     try:
         rows = max(sample.count(), 1)
         found = []

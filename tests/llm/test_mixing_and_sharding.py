@@ -102,3 +102,43 @@ def test_sizes_and_checksums(spark, work):
     want = sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in edge_rows()), key=repr)
     rows = sharding.shard_rows(edge_docs(spark), work).collect()
     assert sorted(((r.id, r.size, r.text_crc32) for r in rows), key=repr) == want
+
+
+def brute_place(number, n, seed):
+    """The network in plain integers: whole words of 64 bits, one value at a time."""
+    word = (1 << 64) - 1
+    bits = max(2, (n - 1).bit_length())
+    low_bits, high_bits = bits // 2, bits - bits // 2
+    keys = [int(k) for k in np.random.SeedSequence(seed).generate_state(sharding.ROUNDS, np.uint64)]
+
+    def mixed(value, key):
+        x = (value * 0x9E3779B97F4A7C15 + key) & word
+        x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & word
+        return x ^ (x >> 29)
+
+    x = number
+    while True:
+        high, low = x >> low_bits, x & ((1 << low_bits) - 1)
+        for i, key in enumerate(keys):
+            if i % 2:
+                low ^= mixed(high, key) & ((1 << low_bits) - 1)
+            else:
+                high ^= mixed(low, key) & ((1 << high_bits) - 1)
+        x = (high << low_bits) | low
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 65, 1_000])
+def test_permutation_by_plain_integers(n):
+    for seed in (0, sharding.SEED):
+        assert sharding.Permutation(n, seed).forward(np.arange(n)).tolist() == [brute_place(i, n, seed) for i in range(n)]
+
+
+def test_whole_table_by_brute_force(spark, work):
+    rows = [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in given(spark).select("doc_id", "text").collect()]
+    places = {row: brute_place(number, len(rows), sharding.SEED) for number, row in enumerate(sorted(rows))}
+    assert len(places) == len(rows)
+    want = {row: (place % 8, place // 8) for row, place in places.items()}
+    placed = sharding.shard_rows(given(spark), work).collect()
+    assert {(r.id, r.size, r.text_crc32): (r.shard, r.slot) for r in placed} == want
