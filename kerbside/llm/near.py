@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import fresh_name, text_or_empty
+from kerbside.llm.common import fresh_name, session_conf, text_or_empty
 from kerbside.llm.tokens import slices
 from kerbside.llm.wordhash import mix, windows_of, word_hashes
 from kerbside.session import Workspace
@@ -39,6 +39,7 @@ SHORT_SHINGLES = 50
 # Documents of a key that one task compares: so many unsettled ones with so many others.
 TILE_OPEN, TILE_OTHERS = 256, 512
 BATCH_CHARS = 2_000_000
+NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
 
 SKETCH_SCHEMA = "row long, id long, digest binary, shingles long, keys array<long>, single array<long>"
 
@@ -406,10 +407,13 @@ def near_classes(
     )
     sketched = work.store(sketches(rows), "sketches")
     copies = sketched.groupBy("digest").agg(F.min("row").alias("first"))
-    folded = work.store(sketched.select("row", "id", "digest").join(copies, "digest").drop("digest"), "folded")
-    single = sketched.join(folded.filter("row = first").select("row"), "row", "left_semi")
-    links = links_within_keys(single, rows.select("row", "text"), work)
-    roots = components(links, work)
+    # Both sides of these joins grow with the documents, and a text's size on disk says little of that in memory: none
+    # is broadcast, however few documents there are.
+    with session_conf(docs.sparkSession, **NO_BROADCAST):
+        folded = work.store(sketched.select("row", "id", "digest").join(copies, "digest").drop("digest"), "folded")
+        single = sketched.join(folded.filter("row = first").select("row"), "row", "left_semi")
+        links = links_within_keys(single, rows.select("row", "text"), work)
+        roots = components(links, work)
     classed = folded.join(roots.withColumnRenamed("row", "first"), "first", "left").select(
         "row", "id", F.coalesce("root", "first").alias("class_row")
     )
