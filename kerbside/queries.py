@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from weakref import WeakKeyDictionary
 
@@ -297,7 +298,10 @@ def _ride_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_raw_months(rides: DataFrame, root: str) -> None:
-    """Lineitem rides as monthly files whose headers, types and columns drift by year."""
+    """Lineitem rides as monthly files whose headers, types and columns drift by year.
+
+    No two variants share a month, so they are written side by side.
+    """
     even = F.col("y") % 2 == 0
     double_ids = {c: F.col(c).cast("double") for c in ("pu_location_id", "do_location_id", "passenger_count")}
     zones = {"pu_location_id": "PULocationID", "do_location_id": "DOLocationID"}
@@ -316,7 +320,9 @@ def _write_raw_months(rides: DataFrame, root: str) -> None:
         ("fhv", even, {}, {**_times("pickup_datetime", "dropOff_datetime"), **fhv_zones}, measured),
         ("fhv", ~even, double_ids, {**_times("Pickup_datetime", "DropOff_datetime"), **zones}, measured),
     ]
-    for service, years, retyped, renamed, dropped in variants:
+
+    def write(variant: tuple) -> None:
+        service, years, retyped, renamed, dropped = variant
         raw = (
             rides.filter((F.col("service_type") == service) & years)
             .withColumns(retyped)
@@ -325,6 +331,9 @@ def _write_raw_months(rides: DataFrame, root: str) -> None:
         )
         write_months(raw, root, service, "y", "m", "zstd")
 
+    with ThreadPoolExecutor(len(variants)) as pool:
+        list(pool.map(write, variants))
+
 
 def _times(pickup: str, dropoff: str) -> dict[str, str]:
     return {"pickup_datetime": pickup, "dropoff_datetime": dropoff}
@@ -446,7 +455,9 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[Lake, list[tuple[str,
         span = (SERVICES, *RAW_RANGE)
         increments.update_silver(spark, lake, *span)
         increments.update_partials(spark, lake)
-        _write_raw_months(rides.filter((F.col("y") >= LATE_FROM) | _of(CORRECTED)), lake.raw)
+        late = run.work.store(rides.filter((F.col("y") >= LATE_FROM) | _of(CORRECTED)), "late")
+        _write_raw_months(late, lake.raw)
+        run.work.drop(late)
         service, year = WITHDRAWN
         for month in range(1, 13):
             remove_path(spark, lake.month_path(service, year, month))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,7 @@ from kerbside.functions.trips import parse_month
 from kerbside.settings import END_MONTH, SERVICES, START_MONTH, Lake
 from kerbside.sources.footers import landed_files
 
-_MONTH_IN_PATH = r".*_tripdata_(\d{4})-(\d{2})"
+_BEFORE_MONTH, _MONTH = "_tripdata_", r"(\d{4})-(\d{2})"
 
 
 @dataclass(frozen=True)
@@ -170,16 +170,24 @@ def scan_variants(spark: SparkSession, months: Iterable[Month]) -> list[DataFram
 
 def _scan(spark: SparkSession, service: str, schema: T.StructType, paths: list[str]) -> DataFrame:
     frame = spark.read.schema(schema).parquet(*paths)
-    path = F.col("_metadata.file_path")
     return frame.withColumns(
         {
             "service_type": F.lit(service),
-            "src_year": F.regexp_extract(path, _MONTH_IN_PATH, 1).cast("int"),
-            "src_month": F.regexp_extract(path, _MONTH_IN_PATH, 2).cast("int"),
+            "src_year": _month_part("_metadata.file_path", 1),
+            "src_month": _month_part("_metadata.file_path", 2),
         }
     )
 
 
+def _month_part(path: str, group: int) -> Column:
+    """Year (1) or month (2) in a path. Every row asks, so the whole path is matched only where its end has no month."""
+    end = F.substring_index(path, _BEFORE_MONTH, -1)
+    return F.coalesce(
+        F.regexp_extract(end, rf"^{_MONTH}", group).try_cast("int"),
+        F.regexp_extract(path, rf".*{_BEFORE_MONTH}{_MONTH}", group).cast("int"),
+    )
+
+
 def union_aligned(frames: Iterable[DataFrame]) -> DataFrame:
     """UNION ALL by name; columns a frame lacks become typed nulls, case is ignored."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
