@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,9 @@ from kerbside.session import pin_timezone
 from kerbside.settings import END_MONTH, START_MONTH, TEST_START, TOP_ZONES, TRAIN_END, Lake
 from kerbside.sources.tables import save_parquet
 
+# Training rows of one task: the grid is thousands of short jobs, which wait for their tasks more than for the rows.
+FIT_ROWS = 100_000
+
 
 @dataclass(frozen=True)
 class ForecastRun:
@@ -37,10 +41,11 @@ def fit_and_score(
 
     Both should be stored or checkpointed frames. The training rows stay cached
     while the grid is searched, spilling to disk; they come back from storage
-    when an executor is lost. ``stored`` writes the predictions and reads them
-    back: the model is applied once, and all reports come from the table.
+    when an executor is lost. Their partitions follow their number, not the files
+    they come in. ``stored`` writes the predictions and reads them back: the model
+    is applied once, and all reports come from the table.
     """
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = train.coalesce(math.ceil(train.count() / FIT_ROWS) or 1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = forecast.cross_validate(cached, max_depth, max_iter)
     finally:
