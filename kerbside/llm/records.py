@@ -27,7 +27,8 @@ from kerbside.llm.common import session_conf, text_or_empty
 from kerbside.llm.tokens import END_ID, encoder, slices
 from kerbside.session import Workspace
 
-FILE_BYTES = 32 << 20
+# A file is one row when it is read back: the reader, Arrow and the worker each hold it whole.
+FILE_BYTES = 8 << 20
 # Fixed value: the constant that masks checksums.
 MASK_DELTA = 0xA282EAD8
 _LENGTH = struct.Struct("<QI")
