@@ -44,6 +44,8 @@ DISCOUNT = 0.75
 STEM_BYTES = (6, 5, 4)
 THRESHOLD = 0.3
 BATCH_CHARS = 2_000_000
+# Characters whose word pairs a task holds at once; Spark merges the pairs of a task's parts before it writes them.
+COUNT_CHARS = 500_000
 # Words of the model, and bytes of what blocks ask, that a shard holds.
 SHARD_WORDS, SHARD_BYTES = 200_000, 8 << 20
 _LOWER = bytes.maketrans(
@@ -266,7 +268,7 @@ def count_words(labelled: DataFrame, work: Workspace) -> WordCounts:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", BATCH_CHARS):
+            for batch in slices(whole, "text", COUNT_CHARS):
                 found = words_in(batch.column("text").to_pylist())
                 if not len(found.word):
                     continue
@@ -325,9 +327,10 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
-def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
-    """What rows (carried, text) carry, with mean, middle and excess of their words' ratios."""
+def with_evidence(rows: DataFrame, counts: WordCounts, curve: Curve | None = None) -> DataFrame:
+    """What rows (carried, text) carry, with mean, middle and excess of their words' ratios, or the score a curve gives these."""
     work, carried_type = counts.work, rows.schema["carried"].dataType.simpleString()
+    names = ["score"] if curve else ["mean", "middle", "excess"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, compress = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1).compress
@@ -394,7 +397,9 @@ def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
             ratio[start : start + len(known)] = known
         found = evidence(ratio[codes], per_text)
         carried = block.column("carried").combine_chunks().flatten()
-        return pa.table([carried, *[pa.array(x) for x in found.T]], names=["carried", "mean", "middle", "excess"])
+        # Scored here, as a step of its own would keep a second Python process beside each task.
+        told_of = [curve(found)] if curve else found.T
+        return pa.table([carried, *[pa.array(x) for x in told_of]], names=["carried", *names])
 
     ASKED = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
     ANSWERED = pa.schema([("block", pa.int64()), ("start", pa.int64()), ("ratios", pa.binary())])
@@ -403,7 +408,7 @@ def with_evidence(rows: DataFrame, counts: WordCounts) -> DataFrame:
         asked.groupBy("shard").cogroup(counts.shards(shards).groupBy("shard"))
         .applyInArrow(answer, "block long, start long, ratios binary"), "answers",
     )
-    schema = f"carried {carried_type}, mean double, middle double, excess double"
+    schema = ", ".join([f"carried {carried_type}", *[f"{name} double" for name in names]])
     # The words have been asked for; what is left of the blocks stands in for them.
     lean = work.store(blocks.select("block", "carried", "per_text", "codes"), "lean")
     work.drop(blocks)
@@ -434,14 +439,7 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
     rows are scored alike. An empty table gives no rows.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("carried"), text_or_empty(text_col).alias("text"))
-    id_type, curve = rows.schema["carried"].dataType.simpleString(), model.curve
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.column_stack([batch.column(name).to_numpy() for name in ("mean", "middle", "excess")])
-            yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(curve(found))], ["id", "score"])
-
-    return with_evidence(rows, model.counts).mapInArrow(score, f"id {id_type}, score double")
+    return with_evidence(rows, model.counts, model.curve).withColumnRenamed("carried", "id")
 
 
 def labelled_rows(

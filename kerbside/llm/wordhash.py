@@ -9,6 +9,8 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+# Bytes whose prefix sums are held at once.
+_CHUNK = 1 << 18
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -27,7 +29,9 @@ def word_hashes(texts: Sequence[bytes], most_bytes: int | None = None) -> tuple[
 
     A word's hash is a polynomial of its bytes, taken from prefix sums, then
     mixed; equal words have equal hashes in every process. With ``most_bytes``
-    only that many bytes from a word's start count.
+    only that many bytes from a word's start count. The sums, several numbers a
+    byte, start anew every ``_CHUNK`` bytes or word longer than that: the hash
+    does not depend on where they start.
     """
     joined = b" ".join([*texts, b""])
     data = np.frombuffer(joined, dtype=np.uint8)
@@ -38,16 +42,28 @@ def word_hashes(texts: Sequence[bytes], most_bytes: int | None = None) -> tuple[
     counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
     if most_bytes:
         ends = np.minimum(ends, starts + most_bytes)
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    if not len(starts):
+        return hashes, counts
+    cuts = np.unique([*np.searchsorted(starts, np.arange(0, len(data), _CHUNK)).tolist(), len(starts)])
+    longest = int((ends[cuts[1:] - 1] - starts[cuts[:-1]]).max())
     with np.errstate(over="ignore"):
-        powers = np.full(len(data) + 1, _BASE, dtype=np.uint64)
+        powers = np.full(longest + 1, _BASE, dtype=np.uint64)
         powers[0] = 1
         np.cumprod(powers, out=powers)
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
-        back = np.full(len(data) + 1, _INVERSE, dtype=np.uint64)
+        back = np.full(longest + 1, _INVERSE, dtype=np.uint64)
         back[0] = 1
         np.cumprod(back, out=back)
-        hashes = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+        sums = np.zeros(longest + 1, dtype=np.uint64)
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            origin = starts[first]
+            start, end = starts[first:last] - origin, ends[first:last] - origin
+            size = int(end[-1])
+            own = data[origin : origin + size].astype(np.uint64)
+            own += np.uint64(1)
+            own *= powers[:size]
+            np.cumsum(own, out=sums[1 : size + 1])
+            hashes[first:last] = mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
     return hashes, counts
 
 

@@ -1,10 +1,11 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kerbside.llm import toxicity
+from kerbside.llm import toxicity, wordhash
 from kerbside.session import Workspace
 from tests.llm.edge import edge_docs, edge_rows, no_docs, prose
 
@@ -190,3 +191,39 @@ def test_shards_of_the_model_and_of_the_asked_words_agree(spark):
         dealt = toxicity.WordCounts(rows, np.zeros(0), None).shards(n).collect()
         assert [r.shard for r in dealt] == toxicity.shard_of(stems, n).tolist()
         assert (np.diff(toxicity.shard_of(np.sort(stems), n)) >= 0).all() and max(r.shard for r in dealt) < n
+
+
+def test_hashing_holds_a_few_bytes_per_byte_of_text():
+    """It held over forty, in each task's Python process."""
+    data = [prose(i, 2_000).encode() for i in range(130)]
+    toxicity.word_hashes(data[:1])
+    tracemalloc.start()
+    try:
+        toxicity.word_hashes(data)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20 * sum(map(len, data))
+
+
+def test_hashes_do_not_depend_on_where_sums_start(monkeypatch):
+    data = [b"", b" one two  three\n", "élan 漢字 two".encode(), b"x" * 50, b"", b"one " * 9, b"two"]
+    for most_bytes in (None, 4):
+        whole, per_text = wordhash.word_hashes(data, most_bytes)
+        words = [w[:most_bytes] for t in data for w in t.split()]
+        assert len({h: w for h, w in zip(whole.tolist(), words, strict=True)}) == len(set(words))
+        for chunk in (1, 7, 30):
+            with monkeypatch.context() as held:
+                held.setattr(wordhash, "_CHUNK", chunk)
+                hashes, counts = wordhash.word_hashes(data, most_bytes)
+            assert hashes.tolist() == whole.tolist() and counts.tolist() == per_text.tolist()
+
+
+def test_scores_take_one_python_process_a_task(spark, model):
+    """Blocks are joined to their answers and scored in one step; a second one kept its own process beside the first."""
+    found = toxicity.scored(edge_docs(spark), model)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InArrow") == 1
+    evidence = toxicity.with_evidence(edge_docs(spark).selectExpr("locator as carried", "coalesce(text, '') as text"), model.counts)
+    columns = [evidence.toPandas()[name] for name in ("mean", "middle", "excess")]
+    assert sorted(model.curve(np.column_stack(columns))) == pytest.approx(sorted(r.score for r in found.collect()), abs=1e-12)
