@@ -17,6 +17,7 @@ model. Blocks of documents ask the shards for their words, each once.
 
 from __future__ import annotations
 
+import contextlib
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import text_or_empty
+from kerbside.llm.common import session_conf, text_or_empty
 from kerbside.llm.tokens import slices
 from kerbside.llm.wordhash import word_hashes
 from kerbside.session import Workspace
@@ -44,6 +45,8 @@ DISCOUNT = 0.75
 STEM_BYTES = (6, 5, 4)
 THRESHOLD = 0.3
 BATCH_CHARS = 2_000_000
+# Bytes of texts that Spark hands to Python at once, above which the next text ends a batch: a batch makes one block.
+HANDED_BYTES = BATCH_CHARS * 9 // 10
 # Characters whose word pairs a task holds at once; Spark merges the pairs of a task's parts before it writes them.
 COUNT_CHARS = 500_000
 # Words of the model, and bytes of what blocks ask, that a shard holds.
@@ -263,6 +266,11 @@ def _arrays(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], list[np.ndar
     return word.view(np.uint64), [x.view(np.uint64) for x in stems], [toxic, ordinary]
 
 
+def _texts_in_small_batches(work: Workspace) -> contextlib.AbstractContextManager[None]:
+    """Both Spark and Python hold a batch; 10,000 whole texts are far more than a block."""
+    return session_conf(work.spark, spark__sql__execution__arrow__maxBytesPerBatch=str(HANDED_BYTES))
+
+
 def count_words(labelled: DataFrame, work: Workspace) -> WordCounts:
     """Continuation counts of every word of the labelled rows (text, toxic), whole texts."""
 
@@ -290,19 +298,20 @@ def count_words(labelled: DataFrame, work: Workspace) -> WordCounts:
 
     schema = ", ".join(f"{name} long" for name in ("word", "before", "seen", *_STEMS))
     stems = [F.max(name).alias(name) for name in _STEMS]
-    words = work.store(
-        labelled.select("text", F.col("toxic").cast("long").alias("toxic"))
-        .mapInArrow(count, schema)
-        .groupBy("word", "before")
-        .agg(F.bit_or("seen").alias("seen"), *stems)
-        .groupBy("word")
-        .agg(
-            *stems,
-            F.sum(F.col("seen").bitwiseAND(F.lit(1))).alias("toxic"),
-            F.sum(F.shiftright("seen", 1)).alias("ordinary"),
-        ),
-        "words",
-    )
+    with _texts_in_small_batches(work):
+        words = work.store(
+            labelled.select("text", F.col("toxic").cast("long").alias("toxic"))
+            .mapInArrow(count, schema)
+            .groupBy("word", "before")
+            .agg(F.bit_or("seen").alias("seen"), *stems)
+            .groupBy("word")
+            .agg(
+                *stems,
+                F.sum(F.col("seen").bitwiseAND(F.lit(1))).alias("toxic"),
+                F.sum(F.shiftright("seen", 1)).alias("ordinary"),
+            ),
+            "words",
+        )
 
     def measure(table: pa.Table) -> pa.Table:
         return pa.table({"sizes": [model_sizes(*_arrays(table)).tolist()]})
@@ -356,7 +365,8 @@ def with_evidence(rows: DataFrame, counts: WordCounts, curve: Curve | None = Non
                 block += 1
 
     schema = f"block long, carried array<{carried_type}>, per_text binary, codes binary, words binary, n_bytes long"
-    blocks = work.store(rows.select("carried", "text").mapInArrow(write, schema), "blocks")
+    with _texts_in_small_batches(work):
+        blocks = work.store(rows.select("carried", "text").mapInArrow(write, schema), "blocks")
     n_bytes = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, -(-int(counts.sizes[0]) // SHARD_WORDS), -(-n_bytes // SHARD_BYTES))
 

@@ -227,3 +227,21 @@ def test_scores_take_one_python_process_a_task(spark, model):
     evidence = toxicity.with_evidence(edge_docs(spark).selectExpr("locator as carried", "coalesce(text, '') as text"), model.counts)
     columns = [evidence.toPandas()[name] for name in ("mean", "middle", "excess")]
     assert sorted(model.curve(np.column_stack(columns))) == pytest.approx(sorted(r.score for r in found.collect()), abs=1e-12)
+
+
+def test_texts_are_handed_over_a_block_at_a_time(spark):
+    """Spark and Python held 10,000 whole texts each."""
+    option, handed = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+
+    class Seen(Workspace):
+        def store(self, df, name, **options):
+            handed[name] = spark.conf.get(option)
+            return super().store(df, name, **options)
+
+    before = spark.conf.get(option)
+    docs = spark.createDataFrame([(i, prose(i, 9), i % 2) for i in range(8)], "id long, text string, toxic int")
+    with Seen(spark) as work:
+        counts = toxicity.count_words(docs, work)
+        assert toxicity.with_evidence(docs.select(F.col("id").alias("carried"), "text"), counts).count() == 8
+    assert all(int(handed[name]) <= toxicity.BATCH_CHARS for name in ("words", "blocks"))
+    assert spark.conf.get(option) == before
