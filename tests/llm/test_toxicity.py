@@ -235,7 +235,7 @@ def test_texts_are_handed_over_a_block_at_a_time(spark):
 
     class Seen(Workspace):
         def store(self, df, name, **options):
-            handed[name] = spark.conf.get(option)
+            handed[name] = int(spark.conf.get(option).rstrip("b"))
             return super().store(df, name, **options)
 
     before = spark.conf.get(option)
@@ -243,5 +243,5 @@ def test_texts_are_handed_over_a_block_at_a_time(spark):
     with Seen(spark) as work:
         counts = toxicity.count_words(docs, work)
         assert toxicity.with_evidence(docs.select(F.col("id").alias("carried"), "text"), counts).count() == 8
-    assert all(int(handed[name]) <= toxicity.BATCH_CHARS for name in ("words", "blocks"))
+    assert all(handed[name] <= toxicity.BATCH_CHARS for name in ("words", "blocks"))
     assert spark.conf.get(option) == before
