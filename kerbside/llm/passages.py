@@ -16,7 +16,8 @@ anchor:
 5. Blocks apply the owners to their documents.
 
 Only anchors, pieces and owners are shuffled by content. The number of buckets
-and shards follows the input, so their sizes do not.
+and shards follows the input, so their sizes do not, but for shards of bytes:
+where they are many, they are up to twice as large.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,6 +42,12 @@ from kerbside.session import Workspace
 BLOCK_CHARS = 2_000_000
 BUCKET_ANCHORS = 1 << 20
 SHARD_BYTES = 6 << 20
+# Shards there are before they become larger than that.
+MANY_SHARDS = 64
+# Units whose windows are looked at together, so that what they need stays in a processor's cache, and bytes moved at once.
+STEP, GATHERED = 1 << 14, 1 << 20
+_PLACE = np.uint64(0xFFFF)
+_PLACES = np.arange(1 << 16, dtype=np.uint64)
 # Null ids count as smaller than all others.
 NULL_ID = -(2**63)
 
@@ -66,41 +74,77 @@ class Pieces:
 class Kind:
     """What a unit is, how long windows and their anchors are, and what counts as recurring.
 
-    ``cut`` gives (anchor hash at every unit, units per text); ``contents`` the
+    ``cut`` gives (anchor hashes of a range of units, units per text); ``contents`` the
     bytes of pieces. ``across`` asks for two documents, else two places suffice.
-    ``per_byte`` is about how many anchors a byte of text gives.
+    ``per_byte`` is about how many anchors a byte of text gives. ``grown`` is how many
+    times as large blocks are, and shards may become: each block has a row for each
+    shard and bucket, so these rows grow with the square of the text.
     """
 
     window: int
     anchor: int
     across: bool
     per_byte: float
-    cut: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    cut: Callable[[list[bytes]], tuple[Callable[[int, int], np.ndarray], np.ndarray]]
     contents: Callable[[list[bytes], np.ndarray, np.ndarray], pa.Array]
+    grown: int = 1
 
     def pieces(self, texts: list[bytes]) -> Pieces:
         hashes, per_text = self.cut(texts)
         choices = self.window - self.anchor + 1
         ends = np.cumsum(per_text)
-        text = np.repeat(np.arange(len(per_text), dtype=np.int32), per_text)
-        left = ends[text] - np.arange(len(text))
-        hashes = np.where(left >= self.anchor, hashes, np.uint64(2**64 - 1))
-        least, offset, span = hashes.copy(), np.zeros(len(hashes), dtype=np.int8), 1
-        while span < choices:
-            step = min(span, choices - span)
-            better = least[step:] < least[:-step]
-            np.copyto(offset[:-step], offset[step:] + np.int8(step), where=better)
-            np.minimum(least[:-step], least[step:], out=least[:-step])
-            span += step
-        whole = np.flatnonzero(left >= self.window)
-        place = whole + offset[whole]
-        new = np.ones(len(whole), dtype=bool)
-        new[1:] = (place[1:] != place[:-1]) | (text[whole[1:]] != text[whole[:-1]])
-        first = np.flatnonzero(new)
-        start = whole[first]
-        windows = np.diff(np.append(first, len(whole)))
-        within = start - (ends - per_text)[text[start]]
-        return Pieces(start, within, windows, place[first] - start, hashes[place[first]], text[start])
+        begins = ends - per_text
+        last = (int(ends[-1]) if len(ends) else 0) - self.window + 1
+        if last <= 0:
+            none = np.zeros(0, dtype=np.int64)
+            return Pieces(none, none, none, none, none.astype(np.uint64), none.astype(np.int32))
+        found, before = [], -1
+        for begin in range(0, last, STEP):
+            end = min(begin + STEP, last)
+            own = hashes(begin, end + choices - 1)
+            # The smallest hash and, in its lowest bits, its place: the leftmost one among equals.
+            least, span = own & ~_PLACE | _PLACES[: len(own)], 1
+            while span < choices:
+                step = min(span, choices - span)
+                least = np.minimum(least[:-step], least[step:])
+                span += step
+            least &= _PLACE
+            new = np.empty(end - begin, dtype=bool)
+            np.not_equal(least[1:], least[:-1], out=new[1:])
+            new[0] = begin + int(least[0]) != before
+            new[begins[slice(*np.searchsorted(begins, [begin, end]))] - begin] = True
+            first = np.flatnonzero(new)
+            place = least[first].astype(np.int64)
+            found.append((first + begin, place + begin, own[place]))
+            before = begin + int(least[-1])
+        start, place, key = (np.concatenate(x) for x in zip(*found, strict=True))
+        of_text = np.diff(np.searchsorted(start, begins), append=len(start))
+        text = np.repeat(np.arange(len(per_text), dtype=np.int32), of_text)
+        # Windows that would pass the end of their text are none.
+        windows = np.minimum(np.append(start[1:], last), ends[text] - self.window + 1) - start
+        pieces = Pieces(start, start - begins[text], windows, place - start, key, text)
+        return pieces.only(np.flatnonzero(windows > 0))
+
+
+def in_order(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(whole numbers below 2 ** ``bits`` in ascending order, their places); equal ones stay in order.
+
+    Sorting numbers that end in their place takes a third of the time of finding the order.
+    """
+    own = len(values).bit_length()
+    if bits + own > 64:
+        order = np.argsort(values, kind="stable")
+        return values[order], order
+    both = (values.astype(np.uint64) << np.uint64(own)) | np.arange(len(values), dtype=np.uint64)
+    both.sort()
+    return both >> np.uint64(own), (both & np.uint64((1 << own) - 1)).astype(np.int64)
+
+
+def changes(ordered: np.ndarray) -> np.ndarray:
+    """Whether a value is another than the one before it; the first one is."""
+    new = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return new
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -113,26 +157,33 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def binary_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
     """The bytes of every run as an Arrow array."""
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    gathered = data[ragged(starts, lengths)]
+    # A place takes eight bytes, so not all are held at once.
+    parts = np.split(np.arange(len(lengths)), np.flatnonzero(np.diff(offsets[1:] // GATHERED)) + 1)
+    gathered = np.concatenate([data[ragged(starts[p], lengths[p])] for p in parts])
     return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(gathered)])
 
 
 # Bytes
 
-_BYTE_FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
+_BYTE_FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 
 
-def _cut_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _cut_bytes(texts: list[bytes]) -> tuple[Callable[[int, int], np.ndarray], np.ndarray]:
     joined = b"".join([*texts, bytes(64)])
-    n = len(joined) - 64
-    eight = np.ndarray((n + 32,), dtype="<u8", buffer=joined, strides=(1,)).astype(np.uint64)
-    with np.errstate(over="ignore"):
-        hashes = np.zeros(n, dtype=np.uint64)
-        for j, factor in enumerate(_BYTE_FACTORS):
-            hashes += eight[8 * j : 8 * j + n] * factor
-            hashes ^= hashes >> np.uint64(31)
-        hashes *= _BYTE_FACTORS[0]
-        hashes ^= hashes >> np.uint64(32)
+    eight = np.ndarray((len(joined) - 7,), dtype="<u8", buffer=joined, strides=(1,))
+    of_eight, of_pair, of_all = _BYTE_FACTORS
+
+    def hashes(begin: int, end: int) -> np.ndarray:
+        words = eight[begin : end + 24].astype(np.uint64)
+        pairs = words[:-8] * of_eight
+        pairs += words[8:]
+        all_four = pairs[:-16] * of_pair
+        all_four += pairs[16:]
+        all_four ^= all_four >> np.uint64(32)
+        all_four *= of_all
+        all_four ^= all_four >> np.uint64(32)
+        return all_four
+
     return hashes, np.array([len(t) for t in texts], dtype=np.int64)
 
 
@@ -140,19 +191,19 @@ def _byte_contents(texts: list[bytes], starts: np.ndarray, lengths: np.ndarray)
     return binary_runs(np.frombuffer(b"".join(texts), dtype=np.uint8), starts, lengths)
 
 
-BYTES = Kind(50, 32, True, 0.1, _cut_bytes, _byte_contents)
+BYTES = Kind(50, 32, True, 0.1, _cut_bytes, _byte_contents, grown=2)
 
 # Words
 
 WORD_ANCHOR = 8
 
 
-def _cut_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _cut_words(texts: list[bytes]) -> tuple[Callable[[int, int], np.ndarray], np.ndarray]:
     words, per_text = word_hashes(texts)
     runs, places, _ = windows_of(words, per_text, WORD_ANCHOR)
     hashes = np.full(len(words), 2**64 - 1, dtype=np.uint64)
     hashes[places] = runs
-    return hashes, per_text
+    return lambda begin, end: hashes[begin:end], per_text
 
 
 def _word_contents(texts: list[bytes], starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -180,7 +231,7 @@ def store_blocks(docs: DataFrame, work: Workspace, kind: Kind, id_col: str, text
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, compressor = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=3)
         for whole in batches:
-            for batch in slices(whole, "text", BLOCK_CHARS):
+            for batch in slices(whole, "text", kind.grown * BLOCK_CHARS):
                 ids = batch.column("id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
                 texts = [t.encode() for t in batch.column("text").to_pylist()]
                 lengths = np.array([len(t) for t in texts], dtype=np.int64)
@@ -213,22 +264,19 @@ def recurring_anchors(blocks: DataFrame, work: Workspace, kind: Kind) -> DataFra
             for i in range(batch.num_rows):
                 _, texts = read_block(_one_block(batch, i))
                 pieces = kind.pieces(texts)
-                order = np.argsort(pieces.key, kind="stable")
-                key, text = pieces.key[order], pieces.text[order]
-                new = np.ones(len(key), dtype=bool)
-                new[1:] = key[1:] != key[:-1]
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], len(key)) - 1
+                own, order = in_order(_owns(pieces.key, buckets), 32 + int(buckets).bit_length())
+                text = pieces.text[order]
+                first = np.flatnonzero(changes(own))
+                last = np.append(first[1:], len(own)) - 1
                 several = text[last] != text[first] if kind.across else last > first
-                key = key[first]
-                bucket = bucket_of(key, buckets)
-                by_bucket = np.argsort(bucket, kind="stable")
-                edges = np.flatnonzero(np.diff(bucket[by_bucket], prepend=-1))
+                own = own[first]
+                bucket = (own >> np.uint64(32)).astype(np.int64)
+                edges = np.flatnonzero(changes(bucket))
                 rows = [
-                    {"bucket": int(bucket[part[0]]), "block": batch.column("block")[i].as_py(),
-                     "hashes": packed(low_half(key[part])), "several": packed(several[part])}
-                    for part in np.split(by_bucket, edges[1:]) if len(part)
-                ]
+                    {"bucket": int(bucket[a]), "block": batch.column("block")[i].as_py(),
+                     "hashes": packed(low_half(own[a:b])), "several": packed(several[a:b])}
+                    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(own)], strict=True)
+                ] if len(own) else []
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, SEND)
 
@@ -236,17 +284,16 @@ def recurring_anchors(blocks: DataFrame, work: Workspace, kind: Kind) -> DataFra
         parts = [np.frombuffer(h.as_py(), dtype=np.uint32) for h in table.column("hashes")]
         several = np.concatenate([np.frombuffer(s.as_py(), dtype=bool) for s in table.column("several")])
         hashes = np.concatenate(parts)
-        order = np.argsort(hashes, kind="stable")
-        ordered = hashes[order]
-        same = ordered[1:] == ordered[:-1]
-        found = several[order]
-        found[1:] |= same
-        found[:-1] |= same
-        again = np.unique(ordered[found])
+        ordered, order = in_order(hashes, 32)
+        first = np.flatnonzero(changes(ordered))
+        times = np.diff(first, append=len(order))
+        again = np.empty(len(order), dtype=bool)
+        again[order] = np.repeat((times > 1) | np.logical_or.reduceat(several[order], first), times)
         bucket = table.column("bucket")[0].as_py()
-        rows = []
+        rows, at = [], 0
         for block, part in zip(table.column("block").to_pylist(), parts, strict=True):
-            own = part[np.isin(part, again, assume_unique=True)]
+            own = part[again[at : at + len(part)]]
+            at += len(part)
             if len(own):
                 rows.append({"block": block, "bucket": bucket, "hashes": packed(own)})
         return pa.Table.from_pylist(rows, RETURN)
@@ -262,8 +309,9 @@ def _parts(blocks: DataFrame, per_byte: float) -> int:
     return max(1, math.ceil((blocks.agg(F.sum("bytes")).first()[0] or 0) * per_byte))
 
 
-def bucket_of(key: np.ndarray, buckets: np.uint64) -> np.ndarray:
-    return ((key >> np.uint64(32)) % buckets).astype(np.int64)
+def _owns(key: np.ndarray, buckets: np.uint64) -> np.ndarray:
+    """Each hash's bucket and, in the lower 32 bits, what stands for it there."""
+    return ((key >> np.uint64(32)) % buckets) << np.uint64(32) | (key & np.uint64(0xFFFFFFFF))
 
 
 def low_half(key: np.ndarray) -> np.ndarray:
@@ -305,7 +353,8 @@ def cut_pieces(blocks: DataFrame, anchors: DataFrame, work: Workspace, kind: Kin
     its content, so its hash stays behind.
     """
     buckets = np.uint64(_parts(blocks, kind.per_byte / BUCKET_ANCHORS))
-    shards = np.uint64(_parts(blocks, 1 / SHARD_BYTES))
+    shards = _parts(blocks, 1 / SHARD_BYTES)
+    shards = np.uint64(max(min(shards, MANY_SHARDS), math.ceil(shards / kind.grown)))
     schema = pa.schema([("block", pa.int64()), ("shard", pa.int64()), ("payload", pa.binary())])
 
     def cut(block: pa.Table, found: pa.Table) -> pa.Table:
@@ -313,32 +362,32 @@ def cut_pieces(blocks: DataFrame, anchors: DataFrame, work: Workspace, kind: Kin
             return schema.empty_table()
         ids, texts = read_block(block)
         pieces = kind.pieces(texts)
-        both = [
-            (np.uint64(b.as_py()) << np.uint64(32)) | np.frombuffer(h.as_py(), dtype=np.uint32).astype(np.uint64)
-            for b, h in zip(found.column("bucket"), found.column("hashes"), strict=True)
-        ]
-        own = (bucket_of(pieces.key, buckets).astype(np.uint64) << np.uint64(32)) | low_half(pieces.key)
-        pieces = pieces.only(np.isin(own, np.concatenate(both)))
+        both = sorted(zip(found.column("bucket").to_pylist(), found.column("hashes").to_pylist(), strict=True))
+        # A block's hashes ascend within a bucket, as it sent them.
+        again = np.concatenate([(np.uint64(b) << np.uint64(32)) | np.frombuffer(h, dtype=np.uint32) for b, h in both])
+        own, order = in_order(_owns(pieces.key, buckets), 32 + int(buckets).bit_length())
+        at = np.minimum(np.searchsorted(again, own), len(again) - 1)
+        pieces = pieces.only(np.sort(order[again[at] == own]))
         contents = kind.contents(texts, pieces.start, pieces.windows + kind.window - 1).dictionary_encode()
         slot = contents.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(slot, kind="stable")
-        first = np.flatnonzero(np.diff(slot[order], prepend=-1))
+        ordered, order = in_order(slot, 32)
+        first = np.flatnonzero(changes(ordered))
         of_doc = ids[pieces.text][order]
         lead = order[first]
-        data, offsets = flat(contents.dictionary)
-        size, least = np.diff(offsets), np.minimum.reduceat(of_doc, first)
+        size, least = pc.binary_length(contents.dictionary).to_numpy(), np.minimum.reduceat(of_doc, first)
         # The difference may pass 2^63 where a null id is the smallest; it comes back the same.
         columns = [np.arange(len(first)), pieces.anchor[lead], size, least, np.maximum.reduceat(of_doc, first) - least]
         shard = (mix(pieces.key[lead]) % shards).astype(np.int64)
-        by_shard = np.argsort(shard, kind="stable")
-        edges = np.flatnonzero(np.diff(shard[by_shard])) + 1
+        ordered, by_shard = in_order(shard, int(shards).bit_length())
+        edges = np.flatnonzero(changes(ordered))
+        data, offsets = flat(contents.dictionary.take(pa.array(by_shard)))
+        columns = [values[by_shard] for values in columns]
         places = [slot, pieces.text, pieces.within, pieces.windows]
         number = block.column("block")[0].as_py()
         rows = [{"block": number, "shard": -1, "payload": packed_columns(places)}]
-        for part in np.split(by_shard, edges):
-            content = data[ragged(offsets[part], size[part])]
-            payload = packed_columns([values[part] for values in columns], content)
-            rows.append({"block": number, "shard": int(shard[part[0]]), "payload": payload})
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by_shard)], strict=True):
+            payload = packed_columns([values[a:b] for values in columns], data[offsets[a] : offsets[b]])
+            rows.append({"block": number, "shard": int(ordered[a]), "payload": payload})
         return pa.Table.from_pylist(rows, schema)
 
     cogrouped = blocks.groupBy("block").cogroup(anchors.groupBy("block"))
@@ -377,23 +426,23 @@ def owners(pieces: DataFrame, work: Workspace, settle: Callable[[Variants], tupl
         blocks_of = np.repeat(table.column("block").to_numpy(), [len(columns[0]) for columns, _ in unpacked])
         offsets = np.concatenate([[0], np.cumsum(held["size"])]).astype(np.int32)
         content = pa.py_buffer(b"".join(data for _, data in unpacked))
+        del unpacked
         coded = pa.Array.from_buffers(pa.binary(), len(held["slot"]), [None, pa.py_buffer(offsets), content]).dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False)
-        order = np.argsort(code, kind="stable")
-        first = np.flatnonzero(np.diff(code[order], prepend=-1))
+        ordered, order = in_order(code, 32)
+        first = np.flatnonzero(changes(ordered))
         lead = order[first]
         owner = np.minimum.reduceat(held["least"][order], first)
         variants = Variants(held["anchor"][lead], coded.dictionary, owner)
         windows, owner = settle(variants)
         starts = np.cumsum(windows) - windows
-        variant = np.repeat(np.arange(len(windows)), windows)
-        new = np.ones(len(owner), dtype=bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (variant[1:] != variant[:-1])
+        new = changes(owner)
+        new[starts] = True
         run = np.flatnonzero(new)
-        run_variant = variant[run]
+        runs_of = np.diff(np.searchsorted(run, starts), append=len(run))
+        run_variant = np.repeat(np.arange(len(windows)), runs_of)
         run_end = np.append(run[1:], len(owner)) - starts[run_variant]
         run_from, run_owner = run - starts[run_variant], owner[run]
-        runs_of = np.bincount(run_variant, minlength=len(windows))
         run_start = np.cumsum(runs_of) - runs_of
         row = np.repeat(np.arange(len(code)), runs_of[code])
         at = ragged(run_start[code], runs_of[code])

@@ -1,12 +1,12 @@
 """Byte passages that occur in an earlier document, found with suffix arrays.
 
-The suffix array of a shard's pieces is built by linear grouping construction.
-Suffixes are grouped by their longest Lyndon prefix: starting from groups by
-first symbol, groups are taken in descending order, and each refines the groups
-of its members' previous smaller suffixes, whose Lyndon prefixes it extends.
-Then one ascending pass emits the order inside the groups: a suffix is its
-Lyndon prefix followed by its next smaller suffix, so each suffix that is
-emitted places those whose next smaller suffix it is. Nothing is renamed.
+The suffix arrays of a shard's pieces are built by Lyndon grouping. Suffixes are
+grouped by their longest Lyndon prefix, which ends at the next smaller suffix:
+starting from groups by first symbol, all groups are refined at once by the next
+symbol of their members' Lyndon prefixes. A suffix is its Lyndon prefix followed
+by its next smaller suffix, so the order inside the groups follows from the
+groups that a suffix's next smaller suffixes are in, twice as many of them every
+time. A step is a sort of whole columns: no suffix is handled by itself.
 """
 
 from __future__ import annotations
@@ -18,106 +18,84 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from kerbside.llm import passages
-from kerbside.llm.passages import BYTES, NULL_ID, Variants
+from kerbside.llm.passages import BYTES, NULL_ID, Variants, changes, in_order
 from kerbside.session import Workspace
 
+# Symbols of one suffix array, whose columns a step sorts; bounds a worker's memory, not what it compares.
+ARRAY_SYMBOLS = 200_000
 
-def smaller_neighbours(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(previous, next) smaller suffix of every position, for strings in rows, filled up with 0.
 
-    Positions are inside the string; -1 where there is no previous one, and the
-    end of the string, the empty suffix, is smaller than all. All strings are
-    compared at once, diagonal by diagonal.
+def next_smaller(strings: np.ndarray) -> np.ndarray:
+    """The next smaller suffix of every position, for strings in rows, filled up with 0.
+
+    Positions are inside the string; the end of the string, the empty suffix, is
+    smaller than all. All strings are compared at once, diagonal by diagonal.
     """
     by_place = np.ascontiguousarray(strings.T)
     places, count = by_place.shape
-    before = np.full((places, count), -1, dtype=np.int16)
     after = np.full((places, count), places, dtype=np.int16)
     for distance in range(1, places):
         less = np.zeros(count, dtype=bool)
         for i in range(places - distance - 1, -1, -1):
             j = i + distance
             less = (by_place[i] < by_place[j]) | ((by_place[i] == by_place[j]) & less)
-            row = before[j]
-            row[less & (row < 0)] = i
             row = after[i]
             row[~less & (row == places)] = j
-    return before.T, after.T
-
-
-def lyndon_groups(first_symbols: list[int], previous: list[int]) -> list[list[int]]:
-    """Suffixes grouped by longest Lyndon prefix, groups ascending; ``previous`` is -1 without a smaller one."""
-    by_symbol: dict[int, list[int]] = {}
-    for i, symbol in enumerate(first_symbols):
-        by_symbol.setdefault(symbol, []).append(i)
-    members = [by_symbol[symbol] for symbol in sorted(by_symbol)]
-    below = list(range(-1, len(members) - 1))
-    above = [*range(1, len(members)), -1]
-    group = [0] * len(first_symbols)
-    for g, suffixes in enumerate(members):
-        for i in suffixes:
-            group[i] = g
-    final: list[list[int]] = []
-    current = len(members) - 1
-    while current >= 0:
-        suffixes = [i for i in members[current] if group[i] == current]
-        if suffixes:
-            final.append(suffixes)
-            extended: dict[int, int] = {}
-            for i in suffixes:
-                p = previous[i]
-                if p >= 0:
-                    extended[p] = extended.get(p, 0) + 1
-            moved: dict[tuple[int, int], list[int]] = {}
-            for p, times in extended.items():
-                moved.setdefault((group[p], times), []).append(p)
-            lower = last = -1
-            for old, times in sorted(moved):
-                # Directly above its group; more repetitions of the same prefix lie higher.
-                lower = lower if old == last else old
-                last, new, upper = old, len(members), above[lower]
-                members.append(moved[old, times])
-                below.append(lower)
-                above.append(upper)
-                above[lower] = new
-                if upper >= 0:
-                    below[upper] = new
-                for p in moved[old, times]:
-                    group[p] = new
-                lower = new
-        current = below[current]
-    final.reverse()
-    return final
-
-
-def suffix_order(groups: list[list[int]], following: list[int], ends: list[int]) -> list[int]:
+    return after.T
+
+
+def split(group: np.ndarray, members: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Split the groups of some suffixes by a value of each, in place, and say which members are alone in theirs.
+
+    A group is the place of its first suffix in the order of all, so suffixes of
+    other groups keep theirs; parts ascend with the value. Of a group all suffixes
+    are members, or none is.
+    """
+    bits = np.uint64(int(value.max()).bit_length())
+    key = (group[members].astype(np.uint64) << bits) | value.astype(np.uint64)
+    key, order = in_order(key, int(bits) + len(group).bit_length())
+    first = np.flatnonzero(changes(key))
+    sizes = np.diff(first, append=len(key))
+    old = (key[first] >> bits).astype(np.int64)
+    of_old = np.flatnonzero(changes(old))
+    new = old + first - np.repeat(first[of_old], np.diff(of_old, append=len(old)))
+    group[members[order]] = np.repeat(new, sizes)
+    alone = np.empty(len(members), dtype=bool)
+    alone[order] = np.repeat(sizes == 1, sizes)
+    return alone
+
+
+def lyndon_groups(symbols: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """The group of every suffix by its longest Lyndon prefix, groups ascending; ``prefix`` is that prefix's length.
+
+    Groups by first symbol are split by the further symbols of their members'
+    prefixes, all groups at once; a prefix that ends comes before its extensions.
+    """
+    group = np.zeros(len(symbols), dtype=np.int64)
+    members, known = np.arange(len(symbols)), 0
+    while len(members):
+        goes_on = prefix[members] > known + 1
+        alone = split(group, members, 2 * symbols[members + known].astype(np.int64) + goes_on)
+        members, known = members[goes_on & ~alone], known + 1
+    return group
+
+
+def suffix_order(group: np.ndarray, following: np.ndarray) -> np.ndarray:
     """All suffixes in ascending order, from their groups and next smaller suffixes.
 
-    ``ends`` are the places after each string: the empty suffixes, which come first.
+    ``following`` is the number of suffixes where the empty suffix, which comes
+    first, is the next smaller one. Groups know one Lyndon prefix of a suffix; split
+    by those of the suffix that follows what is known, they know twice as many.
     """
-    room, at = [0] * len(following), 0
-    cursor = []
-    for g, suffixes in enumerate(groups):
-        cursor.append(at)
-        at += len(suffixes)
-        for i in suffixes:
-            room[i] = g
-    placed_by: dict[int, list[int]] = {}
-    for i, j in enumerate(following):
-        placed_by.setdefault(j, []).append(i)
-    order = [0] * len(following)
-
-    def place(j: int) -> None:
-        for i in placed_by.get(j, ()):
-            order[cursor[room[i]]] = i
-            cursor[room[i]] += 1
-
-    ends_of_strings = {-1 - e for e in ends}
-    for e in sorted(ends_of_strings, reverse=True):
-        place(e)
-    for at in range(len(order)):
-        place(order[at])
-    return order
+    group, count = group.copy(), len(group)
+    following = np.append(following, count)
+    members = np.arange(count)
+    while len(members):
+        then = following[members]
+        alone = split(group, members, np.append(group + 1, 0)[then])
+        members = members[(then < count) & ~alone]
+        following = following[following]
+    return in_order(group, count.bit_length())[1]
 
 
 def suffix_array(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,51 +104,59 @@ def suffix_array(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray,
     ``strings`` holds positive symbols in rows filled up with 0. A string's end is
     smaller than any symbol; equal suffixes are next to each other.
     """
-    previous, following = smaller_neighbours(strings)
+    place = np.arange(strings.shape[1])
+    inside = place < lengths[:, None]
+    after = np.minimum(next_smaller(strings), lengths[:, None])
     starts = np.cumsum(lengths) - lengths
-    inside = np.arange(strings.shape[1]) < lengths[:, None]
     symbols = strings[inside]
-    before = np.where(previous >= 0, previous + starts[:, None], -1)[inside]
-    after = np.where(following < lengths[:, None], following + starts[:, None], -1 - starts[:, None])[inside]
-    groups = lyndon_groups(symbols.tolist(), before.tolist())
-    return symbols, starts, np.array(suffix_order(groups, after.tolist(), starts.tolist()), dtype=np.int64)
+    following = np.where(after < lengths[:, None], after + starts[:, None], len(symbols))[inside]
+    groups = lyndon_groups(symbols, (after - place)[inside])
+    return symbols, starts, suffix_order(groups, following)
 
 
 def settle(variants: Variants) -> tuple[np.ndarray, np.ndarray]:
-    """(windows per variant, owner of every window) by the suffix array of the variants that share an anchor.
+    """(windows per variant, owner of every window) by the suffix arrays of the variants that share an anchor.
 
     An anchor's bytes are one symbol of their own, as every window of a piece
-    holds all of them; the bytes before and after are a symbol each.
+    holds all of them; the bytes before and after are a symbol each. One suffix
+    array holds the variants of so many anchors that they have ``ARRAY_SYMBOLS``
+    symbols, or those of one anchor with more.
     """
     data, offsets = passages.flat(variants.content)
     begins, sizes = offsets[:-1], np.diff(offsets)
     windows = sizes - BYTES.window + 1
     owner = np.repeat(variants.owner, windows)
     anchors = passages.binary_runs(data, begins + variants.anchor, np.full(len(begins), BYTES.anchor)).dictionary_encode()
-    anchor = anchors.indices.to_numpy(zero_copy_only=False)
-    chosen = np.flatnonzero(np.bincount(anchor)[anchor] > 1)
-    if not len(chosen):
+    anchor = anchors.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    several = np.flatnonzero(np.bincount(anchor)[anchor] > 1)
+    if not len(several):
         return windows, owner
-    lengths = sizes[chosen] - BYTES.anchor + 1
-    place = np.arange(lengths.max())[None, :]
-    at = variants.anchor[chosen][:, None]
-    source = begins[chosen][:, None] + place + np.where(place > at, BYTES.anchor - 1, 0)
-    symbols = data[np.minimum(source, len(data) - 1)].astype(np.int32) + 1
-    symbols = np.where(place == at, 257 + anchor[chosen][:, None], symbols)
-    strings = np.where(place < lengths[:, None], symbols, 0).astype(np.int32)
-    flat, starts, order = suffix_array(strings, lengths)
-    string = np.repeat(np.arange(len(chosen)), lengths)
-    within = np.arange(len(flat)) - starts[string]
-    order = order[within[order] < windows[chosen][string[order]]]
-    span = BYTES.window - BYTES.anchor + 1
-    same = np.ones(len(order) - 1, dtype=bool)
-    for j in range(span):
-        same &= flat[order[1:] + j] == flat[order[:-1] + j]
-    first = np.flatnonzero(np.concatenate([[True], ~same]))
-    least = np.minimum.reduceat(variants.owner[chosen][string[order]], first)
+    several = several[in_order(anchor[several], 32)[1]]
+    lengths = sizes - BYTES.anchor + 1
+    new = changes(anchor[several])
+    before = np.cumsum(lengths[several]) - lengths[several]
+    array = before[np.maximum.accumulate(np.where(new, np.arange(len(several)), 0))] // ARRAY_SYMBOLS
     window_start = np.cumsum(windows) - windows
-    target = window_start[chosen][string[order]] + within[order]
-    owner[target] = np.repeat(least, np.diff(np.append(first, len(order))))
+    for chosen in np.split(several, np.flatnonzero(np.diff(array)) + 1):
+        length = lengths[chosen]
+        place = np.arange(length.max())
+        at = variants.anchor[chosen][:, None]
+        source = begins[chosen][:, None] + place + np.where(place > at, BYTES.anchor - 1, 0)
+        symbols = data[np.minimum(source, len(data) - 1)].astype(np.int32) + 1
+        symbols = np.where(place == at, 257 + (anchor[chosen] - anchor[chosen[0]])[:, None], symbols)
+        strings = np.where(place < length[:, None], symbols, 0).astype(np.int32)
+        flat, starts, order = suffix_array(strings, length)
+        string = np.repeat(np.arange(len(chosen)), length)
+        within = np.arange(len(flat)) - starts[string]
+        order = order[(within < windows[chosen][string])[order]]
+        same = np.ones(len(order) - 1, dtype=bool)
+        for j in range(BYTES.window - BYTES.anchor + 1):
+            ahead = flat[j:][order]
+            same &= ahead[1:] == ahead[:-1]
+        first = np.append(0, np.flatnonzero(~same) + 1)
+        least = np.minimum.reduceat(variants.owner[chosen][string[order]], first)
+        target = window_start[chosen][string[order]] + within[order]
+        owner[target] = np.repeat(least, np.diff(np.append(first, len(order))))
     return windows, owner
 
 
